@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import substring_dedup, suffix_dedup
+from quern.llm import sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files
+
+#: Files of public tokenizers; the end-of-document id of the flat files.
+PIECES, WORDS, END = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json"), 49407
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -14,7 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_sentencepiece": lambda spark, at: sentencepiece_bpe.digest(_table(spark, at, "documents"), PIECES),
     "op5_substring_dedup": lambda spark, at: substring_dedup.digest(_table(spark, at, "documents")),
+    "op7_token_files": lambda spark, at: token_files.listing(token_files.write(spark, _table(spark, at, "documents"), WORDS)),
+    "op9_token_counts": lambda spark, at: token_counts.counts(_table(spark, at, "documents"), WORDS, END),
     "op10_suffix_dedup": lambda spark, at: suffix_dedup.digest(_table(spark, at, "documents")),
 }
 
