@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files
+from quern.llm import decontaminate, sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files
 
 #: Files of public tokenizers; the end-of-document id of the flat files.
 PIECES, WORDS, END = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json"), 49407
@@ -18,6 +18,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": lambda spark, at: decontaminate.report(_table(spark, at, "documents"), _table(spark, at, "benchmark")),
     "op3_sentencepiece": lambda spark, at: sentencepiece_bpe.digest(_table(spark, at, "documents"), PIECES),
     "op5_substring_dedup": lambda spark, at: substring_dedup.digest(_table(spark, at, "documents")),
     "op7_token_files": lambda spark, at: token_files.listing(token_files.write(spark, _table(spark, at, "documents"), WORDS)),
