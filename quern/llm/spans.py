@@ -91,9 +91,9 @@ def decided(found: DataFrame, known: DataFrame, keep_first: bool) -> DataFrame:
     return (out.where(F.struct("doc", "begin") != F.col("f")) if keep_first else out).select("doc", "begin", "n")
 
 
-def undecided(known: DataFrame) -> DataFrame:
+def undecided(store: Store, known: DataFrame) -> DataFrame:
     """One run of each class whose anchor has several classes."""
-    several = known.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    several = store.keep(known.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a2"))
     return known.join(several, F.col("a") == F.col("a2")).select("f.doc", "f.begin", "n", "lead")
 
 
@@ -104,12 +104,13 @@ def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: in
     count as one text's variants, whose equal places are the same place.
     """
     every = runs(docs, symbols, length, k)
-    often = every.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a2")
+    # kept, so that the joins stand right above their exchanges and Spark can split a frequent anchor's rows
+    often = store.keep(every.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a2"))
     found = store.keep(every.join(often, F.col("a") == F.col("a2")).select(*RUN_COLUMNS))
     known = store.keep(classes(found))
     done = [store.keep(decided(found, known, keep_first))]
-    todo = store.keep(undecided(known))
-    store.drop(found, known)
+    todo = store.keep(undecided(store, known))
+    store.drop(found, known, often)
     some = todo.select(F.col("doc").alias("doc2")).distinct()
     part = store.keep(docs.join(some, docs["doc"].eqNullSafe(F.col("doc2")), "left_semi").select("doc", "text"))
     for bins in (width, 1):
@@ -117,7 +118,7 @@ def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: in
         known = store.keep(classes(found))
         done.append(store.keep(decided(found, known, keep_first)))
         store.drop(todo)
-        todo = store.keep(undecided(known)) if bins > 1 else todo
+        todo = store.keep(undecided(store, known)) if bins > 1 else todo
         store.drop(found, known)
     store.drop(part)
     every_done = done[0].unionByName(done[1]).unionByName(done[2])
