@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from quern.plans import queries_corpus, queries_dedup, queries_manifest, queries_text, queries_tokens
+from quern.plans.base import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "queries_corpus", "queries_dedup", "queries_manifest", "queries_text", "queries_tokens"]
