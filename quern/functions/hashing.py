@@ -46,7 +46,8 @@ def band_widths(bits: int, threshold: int) -> list[tuple[int, int]]:
 
 def bands(bits: Column, threshold: int = 3) -> Column:
     """Array of each band's value, of a fingerprint of 64 bits."""
-    return F.array(*(F.shiftrightunsigned(bits, at).bitwiseAND((1 << width) - 1) for at, width in band_widths(64, threshold)))
+    # a band of all 64 bits needs no mask
+    return F.array(*(bits if width == 64 else F.shiftrightunsigned(bits, at).bitwiseAND((1 << width) - 1) for at, width in band_widths(64, threshold)))
 
 
 def slot(digest: Column, n: int) -> Column:

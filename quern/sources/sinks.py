@@ -64,10 +64,11 @@ def split(docs: DataFrame, reason: str, kept_path: str, rejected_path: str, id:
 
 def build_manifest(spark: SparkSession, path: str, source: str, domain: str = "general", language: str = "unknown", weight: float = 1.0, license: str = "unknown") -> DataFrame:
     """A row for each Parquet file under path: records, bytes, estimated tokens and the file's sha256."""
-    rows = spark.read.parquet(path).select("text", F.col("_metadata.file_path").alias("uri"))
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:///")  # noqa: E731  local files are named in two ways
+    rows = spark.read.parquet(path).select("text", plain(F.col("_metadata.file_path")).alias("uri"))
     counts = rows.groupBy("uri").agg(F.count(F.lit(1)).alias("num_records"), F.sum(T.token_estimate(F.coalesce("text", F.lit("")))).alias("estimated_tokens"))
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
-    files = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("uri"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    files = files.select(plain("path").alias("uri"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     fixed = {"source": source, "domain": domain, "language": language, "format": "parquet", "license": license}
     out = files.join(counts, "uri", "left").na.fill(0, ["num_records", "estimated_tokens"])
     out = out.withColumns({k: F.lit(v) for k, v in fixed.items()}).withColumn("weight", F.lit(weight)).withColumn("created_at", F.lit(datetime.now(timezone.utc).isoformat()))
