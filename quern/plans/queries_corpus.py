@@ -113,9 +113,9 @@ def rank_metrics(spark, at):
     return table(spark, at, "events").groupBy((F.col("user_id") % 8).alias("rank"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"), F.round(F.max("value"), 6).alias("most"))
 
 
-@query("learning_curve", "SELECT event_type, date_trunc('day', ts) AS day, round(avg(value), 6) AS mean FROM events GROUP BY ALL")
+@query("learning_curve", "SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, round(avg(value), 6) AS mean FROM events GROUP BY ALL")
 def learning_curve(spark, at):
-    return table(spark, at, "events").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(F.round(F.avg("value"), 6).alias("mean"))
+    return table(spark, at, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.round(F.avg("value"), 6).alias("mean"))
 
 
 @query("learning_rates", """WITH t AS (SELECT o_orderkey, (o_orderkey % 1000) * 1000 AS k FROM orders)

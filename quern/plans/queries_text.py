@@ -171,7 +171,3 @@ def paragraph_join(spark, at):
     texts = F.transform(F.filter(parsed, lambda p: ~(p["是否重复"] | p["是否跨文件重复"])), lambda p: p["内容"])
     return table(spark, at, "documents").select("doc_id", F.sha2(F.array_join(texts, "\n"), 256).alias("joined"))
 
-
-@query("human_sizes", "SELECT doc_id, CASE WHEN strlen(text) < 1024 THEN printf('%.1f', strlen(text)::DOUBLE) || 'B' WHEN strlen(text) < 1048576 THEN printf('%.1f', strlen(text) / 1024.0) || 'KiB' ELSE printf('%.1f', strlen(text) / 1048576.0) || 'MiB' END AS size FROM documents")
-def human_sizes(spark, at):
-    return table(spark, at, "documents").select("doc_id", T.human_bytes(F.octet_length("text").cast("double")).alias("size"))
