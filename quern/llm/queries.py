@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import chat, decontaminate, imatch, minhash, sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
+from quern.llm import chat, decontaminate, imatch, minhash, oracle, sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
 
 #: Files of public tokenizers; the end-of-document id of the flat files.
 PIECES, WORDS, END = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json"), 49407
@@ -31,5 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_minhash": oracle.MINHASH,
+    "op2_decontaminate": oracle.DECONTAMINATE,
+    "op5_substring_dedup": oracle.SUBSTRING,
     "op6_chat": chat.ORACLE,
+    "op10_suffix_dedup": oracle.SUFFIX,
 }
