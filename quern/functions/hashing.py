@@ -63,6 +63,6 @@ def shuffled(seed: int, key: Column) -> Column:
 
 def byte_ids(text: Column, vocabulary: int = 259) -> Column:
     """Ids 1 + byte modulo (vocabulary - 2); vocabulary - 1 ends a text."""
-    raw = F.encode(text, "utf-8")  # a piece of a binary is found at once, one of a string by walking there
-    one = lambda i: (F.conv(F.hex(F.substring(raw, i + 1, F.lit(1))), 16, 10).cast("int") % (vocabulary - 2) + 1).cast("int")
-    return F.when(F.octet_length(text) == 0, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(0), F.octet_length(text) - 1), one))
+    # cut once, outside of the function of a byte, which would read the text again for each
+    pairs = F.regexp_extract_all(F.hex(F.encode(text, "utf-8")), F.lit("(..)"), F.lit(1))
+    return F.transform(pairs, lambda p: (F.conv(p, 16, 10).cast("int") % (vocabulary - 2) + 1).cast("int"))

@@ -164,10 +164,11 @@ def field_coalesce(spark, at):
 @query("paragraph_join", r"""WITH p AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ps FROM documents)
 SELECT doc_id, sha256(array_to_string(list_transform(list_filter(list_transform(range(1, len(ps) + 1), lambda i: {'i': i, 'x': ps[i]}), lambda s: NOT list_contains(ps[1:s.i - 1], s.x)), lambda s: s.x), chr(10))) AS joined FROM p""")
 def paragraph_join(spark, at):
-    kept = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    docs = table(spark, at, "documents").select("doc_id", F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "").alias("kept"))
+    kept = F.col("kept")
     rows = F.transform(kept, lambda x, i: F.struct(x.alias("内容"), (F.array_position(kept, x) <= i).alias("是否重复"), F.lit(False).alias("是否跨文件重复")))
     # a JSON list of paragraphs, as in the raw files, then read back; the first of equal paragraphs stays
     parsed = F.from_json(F.to_json(rows), "array<struct<`内容`:string,`是否重复`:boolean,`是否跨文件重复`:boolean>>")
     texts = F.transform(F.filter(parsed, lambda p: ~(p["是否重复"] | p["是否跨文件重复"])), lambda p: p["内容"])
-    return table(spark, at, "documents").select("doc_id", F.sha2(F.array_join(texts, "\n"), 256).alias("joined"))
+    return docs.select("doc_id", F.sha2(F.array_join(texts, "\n"), 256).alias("joined"))
 
