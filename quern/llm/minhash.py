@@ -19,7 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.components import components
@@ -135,6 +135,26 @@ def banded(reps: DataFrame) -> DataFrame:
     return reps.select("doc", "regs").mapInArrow(run, "key bigint, doc bigint")
 
 
+def alone(texts: DataFrame) -> DataFrame:
+    """(doc, u): of each document of texts(doc, text), how many shingles no other of them has."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, own in blocks(batches):
+            sets = shingle_sets(own)
+            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(owner)), pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64))], ["doc", "s"])
+
+    once = texts.select("doc", "text").mapInArrow(run, "doc bigint, s bigint").groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")).where("doc = last")
+    return once.groupBy(F.col("doc").alias("a")).agg(F.count(F.lit(1)).alias("u"))
+
+
+def possible(n: Column | str, u: Column | str, m: Column | str, v: Column | str, percent: int) -> Column:
+    """Whether sets of n and m shingles, u and v of them in no other set, can reach the threshold: they share no more than either's other shingles."""
+    n, u, m, v = (F.col(x) if isinstance(x, str) else x for x in (n, u, m, v))
+    both = F.least(n - u, m - v)
+    return 100 * both >= percent * (n + m - both)
+
+
 def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) whose estimate is less than six standard deviations below the threshold."""
 
@@ -199,25 +219,27 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     near = store.keep(reps.join(met, F.col("doc") == F.col("d"), "left_semi"))
     store.drop(often)
     links, tested, roots, leaders = None, None, None, 1
+    sizes = store.keep(near.select(F.col("doc").alias("d"), "n").distinct().groupBy("d").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c")).join(alone(texts), F.col("d") == F.col("a"), "left").select("d", "n", F.when(F.col("c") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u")))
+    buckets = buckets.join(sizes, F.col("doc") == F.col("d")).select("key", "doc", "n", "u", F.col("doc").alias("root"))
+    buckets = store.keep(hopeful(store, buckets, percent))
     while True:
         slot = F.pmod(F.xxhash64("doc", F.lit(leaders)), F.lit(leaders))
-        chosen = store.keep(buckets.groupBy(F.col("key").alias("k"), slot.alias("slot")).agg(F.min("doc").alias("u")).select("k", "u"))
-        pairs = buckets.join(chosen, F.col("key") == F.col("k")).where("u <> doc").select(F.least("u", "doc").alias("u"), F.greatest("u", "doc").alias("v")).distinct()
-        if roots is not None:
+        chosen = store.keep(buckets.groupBy(F.col("key").alias("k"), slot.alias("slot")).agg(F.min_by(F.struct("doc", "n", "u", "root"), F.struct("u", "doc")).alias("x")).select("k", F.col("x.doc").alias("lead"), F.col("x.n").alias("m"), F.col("x.u").alias("v"), F.col("x.root").alias("other")))
+        met = buckets.join(chosen, (F.col("key") == F.col("k")) & (F.col("root") != F.col("other")) & possible("n", "u", "m", "v", percent))
+        pairs = met.select(F.least("lead", "doc").alias("u"), F.greatest("lead", "doc").alias("v")).distinct()
+        if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-            pairs = rooted(rooted(pairs, roots, "u", "ru"), roots, "v", "rv").where("ru <> rv").select("u", "v")
         pairs = store.keep(pairs)
         found = confirmed(store.keep(likely(pairs, near, percent)), texts, percent)
         links = store.keep(found if links is None else links.unionByName(found))
         roots = components(store, links)
         tested = store.keep(pairs if tested is None else tested.unionByName(pairs))
         # leaders have met all others; a bucket whose rest is one component is settled
-        rest = buckets.join(chosen, (F.col("key") == F.col("k")) & (F.col("doc") == F.col("u")), "left_anti")
+        rest = buckets.join(chosen.select("k", "lead"), (F.col("key") == F.col("k")) & (F.col("doc") == F.col("lead")), "left_anti").drop("root")
         rest = store.keep(rooted(rest, roots, "doc", "root"))
-        open_ = store.keep(rest.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k"))
         store.drop(chosen, buckets, pairs)
-        buckets = store.keep(rest.join(open_, F.col("key") == F.col("k"), "left_semi").select("key", "doc"))
-        store.drop(rest, open_)
+        buckets = store.keep(hopeful(store, rest, percent))
+        store.drop(rest)
         if buckets.isEmpty():
             break
         leaders *= 8
@@ -233,6 +255,23 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.col("doc").eqNullSafe(F.col("root")).alias("kept"))
 
 
+def hopeful(store: Store, buckets: DataFrame, percent: int) -> DataFrame:
+    """The rows of buckets(key, doc, n, u, root) that can still gain a link there.
+
+    A bucket of one component is settled.  A document whose own shingles alone
+    keep it from the threshold with a set as small as the bucket's least goes
+    from the bucket: most of a large group's outliers, which differ from all
+    alike, and so would have to be compared with all.
+    """
+    about = store.keep(buckets.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("n").alias("least")).where("a <> b").select("k", "least"))
+    open_ = buckets.join(about, F.col("key") == F.col("k"))
+    shared = F.col("n") - F.col("u")
+    floor = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    rest = store.keep(open_.where(100 * shared >= percent * (F.col("n") + floor - shared)).select("key", "doc", "n", "u", "root"))
+    again = store.keep(rest.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k"))
+    return rest.join(again, F.col("key") == F.col("k"), "left_semi")
+
+
 def rooted(table: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:
     """table with the root of the column node (itself where it has no other)."""
     known = roots.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
