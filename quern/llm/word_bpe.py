@@ -8,11 +8,20 @@ from functools import cache
 import numpy as np
 
 #: Distinct words that a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
+#: Punctuation that parts from a word before it.
+TAIL = b".,;:!?"
 
 
 class WordEncoder:
-    """encode() gives each text's ids as little-endian integers of `kind`; special_as_text: the special tokens' strings in a text are ordinary text."""
+    """encode() gives each text's ids as little-endian integers of `kind`; special_as_text: the special tokens' strings in a text are ordinary text.
+
+    A word that wasn't seen is first brought to a form that has the same ids: in
+    lower case, if it is ASCII, and without the punctuation behind an ASCII letter
+    or digit, which the tokenizer parts from it anyway.  Words of letters alone go
+    to the library many at a time, and are told apart by the mark of a word's last
+    piece.
+    """
 
     def __init__(self, path: str, special_as_text: bool, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -21,25 +30,53 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         self.kind, self.known = kind, {}
-        if self.tokenizer.get_vocab_size() > np.iinfo(kind).max + 1:
+        size = self.tokenizer.get_vocab_size()
+        if size > np.iinfo(kind).max + 1:
             raise ValueError(f"ids don't fit {kind}")
-        probe = "a.b 'c\td\n9é"
-        if self._ids([probe]) != [b"".join(self._ids(probe.split()))]:
-            raise ValueError("this tokenizer's words cross white space")
+        self.last = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        probe = ["a.b 'c\td\n9é", "Word., WORD x9! é. it's."]
+        for text in probe:
+            if self._ids([text]) != [b"".join(self._ids(text.split()))] or self.encode([text.encode()]) != self._ids([text]):
+                raise ValueError("this tokenizer's words aren't parted by white space, or depend on case")
+        self.known = {}
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [np.array(x.ids, self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            text = w.decode()
+            (plain if text.isalpha() else other).append(text)
+        for at in range(0, len(plain), 1024):
+            some = plain[at : at + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            cut = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+            if len(cut) != len(some):
+                other.extend(some)
+                continue
+            raw, ends = ids.tobytes(), cut.tolist()
+            self.known.update((w.encode(), raw[a:b]) for w, a, b in zip(some, [0, *ends], ends, strict=False))
+        for at in range(0, len(other), 1024):
+            some = other[at : at + 1024]
+            self.known.update(zip((w.encode() for w in some), self._ids(some), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [x.split() for x in texts]  # bytes split at ASCII white space alone
         if len(self.known) > REMEMBERED:
             self.known = {}
         known = self.known
-        if new := list({w for words in split for w in words} - known.keys()):
-            for at in range(0, len(new), 4096):
-                some = new[at : at + 4096]
-                known.update(zip(some, self._ids([w.decode() for w in some]), strict=True))
-        return [b"".join([known[w] for w in words]) for words in split]
+        if new := set().union(*split).difference(known):
+            parts = {}
+            for w in new:
+                form = w.lower() if w.isascii() and b"<|" not in w else w
+                core = form.rstrip(TAIL)
+                parts[w] = (core, form[len(core) :]) if len(core) < len(form) and core[-1:].isalnum() else (form,)
+            self._learn(list({p for x in parts.values() for p in x if p not in known}))
+            for w, x in parts.items():
+                known[w] = b"".join([known[p] for p in x])
+        get = known.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 @cache
