@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from quern.llm import decontaminate, minhash, sentencepiece_bpe, suffix_dedup, toxicity
 from quern.llm.store import Store
 
+#: Texts are near duplicates from this Jaccard similarity on; op1's own query has a contract of 85.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold."""
@@ -22,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least id of each group of near duplicates, and all others that are in none."""
-    return minhash.first_of_each(docs)
+    return minhash.first_of_each(docs, percent=NEAR_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

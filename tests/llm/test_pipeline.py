@@ -45,3 +45,13 @@ def test_each_stage_on_what_the_last_kept(spark, folder, tmp_path):
 
 def test_modules_are_those_of_the_operators():
     assert {corpus_pipeline.minhash, corpus_pipeline.suffix_dedup, corpus_pipeline.decontaminate} == {minhash, suffix_dedup, decontaminate}
+
+
+def test_near_duplicates_from_four_fifths(spark, folder):
+    docs = []
+    for i in range(20):  # an inner word changed: of 50 shingles 45 stay, 45 / 55 = 0.818; of 44 39, 39 / 49 = 0.796
+        for k, n in ((0, 54), (100, 48)):
+            words = [f"w{k}x{i}x{j}" for j in range(n)]
+            docs += [(4 * i + k, " ".join(words)), (4 * i + k + 1, " ".join([*words[:20], "other", *words[21:]]))]
+    left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(docs, "doc_id bigint, text string"), folder)
+    assert sorted(r.doc_id for r in left.collect()) == [4 * i for i in range(20)] + [100 + 4 * i + j for i in range(20) for j in (0, 1)]
