@@ -4,10 +4,12 @@ A term is a lower-case word; its document frequency is counted in one of 2^18
 bins by its hash, so that the table of frequencies has a fixed size and goes to
 every task as a bitmap.  Terms stay whose bin's inverse document frequency lies in
 a band: words in nearly every document tell nothing, and a word of one document
-can't be shared.  The lexicon is dealt into SUBSETS randomised subsets; the
-distinct terms of a document that fall into a subset are sorted and hashed, and the
-fingerprint is these hashes in order.  A document whose terms change a little
-keeps most of them; the likeness of two fingerprints is the share of the subsets
+can't be shared.  Of the lexicon, randomised subsets are drawn at several sizes:
+at each of LEVELS levels SUBSETS of them, a level's LEVEL_BITS halvings smaller
+than those before, so that long texts have few terms in some.  The distinct terms
+of a document that fall into a subset are sorted and hashed, and the fingerprint is
+these hashes in order.  A document whose terms change a little keeps most of them,
+one that loses half of them keeps some of the small ones; the likeness of two fingerprints is the share of the subsets
 that either has terms in, where they agree.
 """
 
@@ -18,6 +20,8 @@ from pyspark.sql import functions as F
 
 BIN_BITS, SUBSET_BITS = 18, 5
 SUBSETS = 1 << SUBSET_BITS
+#: A subset of level i holds one of 2^(SUBSET_BITS + i * LEVEL_BITS) terms: 32, 256, 2048, 16384.
+LEVELS, LEVEL_BITS = 4, 3
 #: The band: a bin's documents, at least, and its share of all documents, at most.
 LEAST_DOCS, MOST_SHARE = 2, 0.2
 #: Buckets of neighbouring ids, at most: what the ghost rows' ids are bounded by.
@@ -46,21 +50,29 @@ def lexicon(docs: DataFrame, text: str = "text", least_docs: int = LEAST_DOCS, m
 
 
 def subsets(text: Column, held: bytes) -> Column:
-    """A map from the number of each subset that the text has terms in to their hash."""
+    """A map from the number of each subset that the text has terms in to their hash; a level's subsets follow the last one's."""
     within = F.filter(terms(text), lambda t: F.substring(F.lit(held), _bin(t) + 1, F.lit(1)) == F.lit(b"\x01"))
-    # the top bits of a term's second hash deal it into a subset, so the sorted hashes hold each subset's terms side by side
-    ordered = F.sort_array(F.transform(within, lambda t: F.xxhash64(t, F.lit(8))))
+    # a transform over one element names the terms, so that they are found once
+    return F.map_from_entries(F.flatten(F.element_at(F.transform(F.array(within), lambda t: F.array(*(_dealt(t, i) for i in range(LEVELS)))), 1)))
+
+
+def _dealt(within: Column, level: int) -> Column:
+    """(s, h) of each subset of the level that has some of the terms."""
+    # each level has its own hash of a term, whose low bits say whether the level has the term; the top bits deal it into a
+    # subset, so the sorted hashes hold each subset's terms side by side
+    hashes = F.transform(within, lambda t: F.xxhash64(t, F.lit(8 + level)))
+    ordered = F.sort_array(F.filter(hashes, lambda x: x.bitwiseAND(F.lit((1 << level * LEVEL_BITS) - 1)) == 0))
     zero = F.struct(F.lit(-1).alias("s"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<struct<s:int,h:bigint>>").alias("done"))
     done = lambda a: F.when(a["s"] >= 0, F.concat(a["done"], F.array(F.struct(a["s"].alias("s"), a["h"].alias("h"))))).otherwise(a["done"])
-    number = lambda x: F.shiftrightunsigned(x, 64 - SUBSET_BITS).cast("int")
+    number = lambda x: F.shiftrightunsigned(x, 64 - SUBSET_BITS).cast("int") + F.lit(level * SUBSETS)
     step = lambda a, x: F.struct(number(x).alias("s"), F.when(a["s"] == number(x), F.xxhash64(a["h"], x)).otherwise(F.xxhash64(x)).alias("h"), F.when(a["s"] == number(x), a["done"]).otherwise(done(a)).alias("done"))
-    return F.map_from_entries(F.aggregate(ordered, zero, step, done))
+    return F.aggregate(ordered, zero, step, done)
 
 
 def fingerprint(text: Column, held: bytes) -> Column:
     """Eight hexadecimal digits for each subset, 00000000 where the text has no term in it."""
     found = subsets(text, held)
-    every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    every = F.sequence(F.lit(0), F.lit(LEVELS * SUBSETS - 1))
     # a transform over one element names the map, so that it is made once
     return F.element_at(F.transform(F.array(found), lambda m: F.array_join(F.transform(every, lambda i: F.coalesce(F.lpad(F.lower(F.hex(F.pmod(F.element_at(m, i), F.lit(1 << 32)))), 8, "0"), F.lit("0" * 8))), "")), 1)
 
@@ -68,7 +80,7 @@ def fingerprint(text: Column, held: bytes) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """The share of the subsets, of those where either has terms, in which two fingerprints agree; 1 where neither has any."""
     part = lambda x, i: F.substring(x, i * 8 + 1, F.lit(8))
-    every = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    every = F.sequence(F.lit(0), F.floor(F.char_length(a) / 8).cast("int") - 1)
     used = F.size(F.filter(every, lambda i: (part(a, i) != "0" * 8) | (part(b, i) != "0" * 8)))
     same = F.size(F.filter(every, lambda i: (part(a, i) != "0" * 8) & (part(a, i) == part(b, i))))
     return F.when(used == 0, F.lit(1.0)).otherwise(same.cast("double") / used)

@@ -51,3 +51,14 @@ def test_odd_rows(spark):
     odd = spark.createDataFrame([(None, "a b"), (1, "x"), (1, "x"), (1, "y"), (2, None)], "doc_id bigint, text string")
     assert imatch.report(odd).count() == 5
     assert imatch.report(odd.limit(0)).collect() == [] and imatch.report(odd.where("text = 'y'")).first().near_next == 1
+
+
+def test_each_edit_is_nearer_than_the_next(spark):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(20000)]
+    docs = [(i, " ".join(rng.sample(vocab, n))) for n in (200, 400, 1000, 4000) for i in range(n * 10, n * 10 + 20)]
+    rows = imatch.report(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert len(rows) == 80
+    for size in (200, 400, 1000, 4000):
+        nearer = sum(r.near_edited > r.near_next for r in rows if r.doc_id // 10 in range(size, size + 2))
+        assert nearer >= 18, (size, nearer)
