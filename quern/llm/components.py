@@ -21,14 +21,14 @@ def _star(store: Store, edges: DataFrame, large: bool) -> DataFrame:
 
 def components(store: Store, edges: DataFrame) -> DataFrame:
     """(node, root): for each node of edges(u, v) but the roots themselves, the least node that it reaches."""
-    edges, before = store.keep(edges.where("u <> v").select("u", "v").distinct()), None
+    edges = store.keep(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
-        # stable once every edge leads from a node to its root
-        mark = tuple(edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        if mark == before or not mark[0]:
-            return edges.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("root"))
-        before = mark
+        # done once each node has one edge, and the node there none
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         one = _star(store, edges, large=True)
         two = _star(store, one, large=False)
         store.drop(edges, one)
-        edges = two
+        edges = two.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        store.paths[id(edges)] = store.paths.pop(id(two))

@@ -7,10 +7,12 @@ buckets borrow from others in an order all documents share.  Bands of 6 register
 bring documents together: two at a similarity of 0.85 miss each other in all 42
 bands once in 4 * 10^8.  Within a band's bucket no pairs are listed: all members
 are compared to one of them, the leader, first by the registers' estimate,
-corrected for chance collisions, then on the full sets.  Members that this joins
-are settled; buckets that still hold several components get more leaders in the
-next round, until none is left, so no link between documents that share a bucket
-is lost and a group of copies costs as many comparisons as it has members.
+corrected for chance collisions, then on the full sets.  Buckets that are one
+component then are settled.  The members of the others, texts that are alike but
+not near enough to their leader, meet anew in the shingles of their prefixes (see
+prefixes), which any two that can link share.  There a few members meet each
+other, and a crowd meets leaders, more in each round, until every bucket is one
+component or exhausted; so no link between documents that share a bucket is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ SHINGLE, PERCENT = 5, 85
 BUCKETS, ROWS = 256, 6
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)
+#: A bucket of prefixes with so few members has no leaders: each meets the others that it can link with.
+SMALL = 32
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -135,17 +139,28 @@ def banded(reps: DataFrame) -> DataFrame:
     return reps.select("doc", "regs").mapInArrow(run, "key bigint, doc bigint")
 
 
-def alone(texts: DataFrame) -> DataFrame:
-    """(doc, u): of each document of texts(doc, text), how many shingles no other of them has."""
+def prefixes(store: Store, open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(key, doc, n, u) of the documents of open_(doc): a bucket for each shingle of their prefixes, u of the text's shingles stand before it.
+
+    A text's shingles stand in one order for all, the rarest among these texts
+    first.  Two sets that reach the threshold share at least that percentage of
+    either, so the first shingle that they share stands in the prefix of both:
+    among the n - ceil(n * percent / 100) + 1 first.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, own in blocks(batches):
             sets = shingle_sets(own)
-            owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(owner)), pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64))], ["doc", "s"])
+            size = np.array([len(x) for x in sets])
+            owner = pa.array(np.repeat(np.arange(len(sets)), size))
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(owner), rows.column(1).take(owner), pa.array(size).take(owner), pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64))], ["doc", "row", "n", "s"])
 
-    once = texts.select("doc", "text").mapInArrow(run, "doc bigint, s bigint").groupBy("s").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")).where("doc = last")
-    return once.groupBy(F.col("doc").alias("a")).agg(F.count(F.lit(1)).alias("u"))
+    some = texts.join(open_.select(F.col("doc").alias("d")).distinct(), F.col("doc") == F.col("d"), "left_semi").select("doc", F.xxhash64("text").alias("row"), "text").dropDuplicates(["doc", "row"])
+    held = store.keep(some.mapInArrow(run, "doc bigint, row bigint, n bigint, s bigint"))
+    often = held.groupBy(F.col("s").alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    ordered = held.join(often, F.col("s") == F.col("k")).groupBy("doc", "row", "n").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("x"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ordered.select("doc", "n", F.posexplode(F.slice("x", F.lit(1), first.cast("int"))).alias("u", "x")).where("x.c > 1").select(F.col("x.s").alias("key"), "doc", "n", F.col("u").cast("bigint").alias("u"))
 
 
 def possible(n: Column | str, u: Column | str, m: Column | str, v: Column | str, percent: int) -> Column:
@@ -199,6 +214,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(two, "v").join(one, "u").select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint")
 
 
+def met(buckets: DataFrame, leaders: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of a bucket's members with its leaders(k, lead, m, v, other) that can reach the threshold and aren't joined yet."""
+    both = buckets.join(leaders, (F.col("key") == F.col("k")) & (F.col("root") != F.col("other")) & possible("n", "u", "m", "v", percent))
+    return both.select(F.least("lead", "doc").alias("u"), F.greatest("lead", "doc").alias("v"))
+
+
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each document.
 
@@ -211,65 +232,82 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     sig = store.keep(signatures(docs))
     some = sig.where("n > 0 and doc is not null")
     reps = store.keep(some.groupBy("n", "s1", "s2").agg(F.min("doc").alias("doc"), F.first("regs").alias("regs")))
-    bands = banded(reps)
-    often = store.keep(bands.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k"))
+    bands = store.keep(banded(reps))
+    often = bands.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
     buckets = store.keep(bands.join(often, F.col("key") == F.col("k")).select("key", "doc").distinct())
-    met = buckets.select(F.col("doc").alias("d")).distinct()
-    texts = store.keep(docs.join(met, F.col("doc") == F.col("d"), "left_semi"))
-    near = store.keep(reps.join(met, F.col("doc") == F.col("d"), "left_semi"))
-    store.drop(often)
-    links, tested, roots, leaders = None, None, None, 1
-    sizes = store.keep(near.select(F.col("doc").alias("d"), "n").distinct().groupBy("d").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("c")).join(alone(texts), F.col("d") == F.col("a"), "left").select("d", "n", F.when(F.col("c") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u")))
-    buckets = buckets.join(sizes, F.col("doc") == F.col("d")).select("key", "doc", "n", "u", F.col("doc").alias("root"))
-    buckets = store.keep(hopeful(store, buckets, percent))
-    while True:
+    # the more buckets a document shares, the more central it is
+    shared = store.keep(buckets.groupBy(F.col("doc").alias("d")).agg(F.count(F.lit(1)).alias("shared")))
+    texts = store.keep(docs.join(shared, F.col("doc") == F.col("d"), "left_semi"))
+    near = store.keep(reps.join(shared, F.col("doc") == F.col("d"), "left_semi"))
+    sizes = shared.join(near.groupBy("doc").agg(F.max("n").alias("n")), F.col("d") == F.col("doc")).select("d", "n", "shared")
+    buckets = store.keep(buckets.join(sizes, F.col("doc") == F.col("d")).select("key", "doc", "n", F.lit(0).cast("bigint").alias("u"), F.col("doc").alias("root"), "shared"))
+    links, roots = [], None
+
+    def test(pairs: DataFrame) -> None:
+        links.append(store.keep(confirmed(store.keep(likely(pairs.distinct(), near, percent)), texts, percent)))
+
+    # one leader a bucket: most buckets are one component then
+    chosen = store.keep(buckets.groupBy(F.col("key").alias("k")).agg(F.max_by(F.struct("doc", "n", "u"), F.struct("shared", -F.col("doc"))).alias("x")).select("k", F.col("x.doc").alias("lead"), F.col("x.n").alias("m"), F.col("x.u").alias("v"), F.col("x.doc").alias("other")))
+    test(met(buckets, chosen, percent))
+    roots = components(store, links[-1])
+    open_ = hopeful(store, unled(buckets.drop("shared"), chosen, roots), percent)
+    store.drop(chosen, buckets)
+    # what is left are crowded buckets of texts alike but not near enough to the leader: they meet in their prefixes instead
+    buckets = hopeful(store, rooted(prefixes(store, open_, texts, percent), roots, "doc", "root"), percent)
+    leaders = SMALL
+    while not buckets.isEmpty():
+        size = store.keep(buckets.groupBy(F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("c")))
+        sized = buckets.join(size, F.col("key") == F.col("b")).drop("b")
+        small, large = sized.where(F.col("c") <= SMALL).drop("c"), sized.where(F.col("c") > SMALL).drop("c")
+        every = small.select(F.col("key").alias("k"), F.col("doc").alias("lead"), F.col("n").alias("m"), F.col("u").alias("v"), F.col("root").alias("other"))
         slot = F.pmod(F.xxhash64("doc", F.lit(leaders)), F.lit(leaders))
-        chosen = store.keep(buckets.groupBy(F.col("key").alias("k"), slot.alias("slot")).agg(F.min_by(F.struct("doc", "n", "u", "root"), F.struct("u", "doc")).alias("x")).select("k", F.col("x.doc").alias("lead"), F.col("x.n").alias("m"), F.col("x.u").alias("v"), F.col("x.root").alias("other")))
-        met = buckets.join(chosen, (F.col("key") == F.col("k")) & (F.col("root") != F.col("other")) & possible("n", "u", "m", "v", percent))
-        pairs = met.select(F.least("lead", "doc").alias("u"), F.greatest("lead", "doc").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = store.keep(pairs)
-        found = confirmed(store.keep(likely(pairs, near, percent)), texts, percent)
-        links = store.keep(found if links is None else links.unionByName(found))
-        roots = components(store, links)
-        tested = store.keep(pairs if tested is None else tested.unionByName(pairs))
-        # leaders have met all others; a bucket whose rest is one component is settled
-        rest = buckets.join(chosen.select("k", "lead"), (F.col("key") == F.col("k")) & (F.col("doc") == F.col("lead")), "left_anti").drop("root")
-        rest = store.keep(rooted(rest, roots, "doc", "root"))
-        store.drop(chosen, buckets, pairs)
-        buckets = store.keep(hopeful(store, rest, percent))
-        store.drop(rest)
-        if buckets.isEmpty():
+        chosen = store.keep(large.groupBy(F.col("key").alias("k"), slot.alias("slot")).agg(F.min_by(F.struct("doc", "n", "u", "root"), F.struct("u", "doc")).alias("x")).select("k", F.col("x.doc").alias("lead"), F.col("x.n").alias("m"), F.col("x.u").alias("v"), F.col("x.root").alias("other")))
+        test(met(buckets, every.unionByName(chosen), percent))
+        if chosen.isEmpty():
             break
-        leaders *= 8
-    store.drop(texts, near, tested, buckets)
+        roots = components(store, roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links[-1]))
+        rest = hopeful(store, unled(large, chosen, roots), percent)
+        store.drop(buckets, size, chosen)
+        buckets = rest
+        leaders *= SMALL
+    store.drop(texts, near, buckets)
     named = reps.select("n", "s1", "s2", F.col("doc").alias("rep"))
     member = store.keep(sig.select("doc", "n", "s1", "s2").join(named, ["n", "s1", "s2"], "left").select("doc", "n", "rep"))
     # an id with several texts joins the groups of all of them
     several = member.groupBy(F.col("doc").alias("d")).agg(F.min("rep").alias("v"), F.max("rep").alias("w")).where("v <> w").select("d", "v")
-    several = store.keep(member.join(several, F.col("doc") == F.col("d")).select(F.col("rep").alias("u"), "v"))
-    if not several.isEmpty():
-        roots = components(store, links.unionByName(several))
+    several = member.join(several, F.col("doc") == F.col("d")).select(F.col("rep").alias("u"), "v")
+    late = several
+    for found in links[1:]:
+        late = late.unionByName(found)
+    late = store.keep(late)
+    if not late.isEmpty():
+        roots = components(store, roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(late))
     out = rooted(member, roots, "rep", "root").withColumn("root", F.when(F.col("doc").isNotNull(), F.coalesce("root", "doc")))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.col("doc").eqNullSafe(F.col("root")).alias("kept"))
 
 
+def unled(buckets: DataFrame, chosen: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of the buckets but their leaders, who have met all others, with their present roots."""
+    rest = buckets.join(chosen.select("k", "lead"), (F.col("key") == F.col("k")) & (F.col("doc") == F.col("lead")), "left_anti").drop("root")
+    return rooted(rest, roots, "doc", "root")
+
+
 def hopeful(store: Store, buckets: DataFrame, percent: int) -> DataFrame:
     """The rows of buckets(key, doc, n, u, root) that can still gain a link there.
 
-    A bucket of one component is settled.  A document whose own shingles alone
-    keep it from the threshold with a set as small as the bucket's least goes
-    from the bucket: most of a large group's outliers, which differ from all
-    alike, and so would have to be compared with all.
+    A bucket of one component is settled.  From the others go the rows whose u
+    shingles alone, which no other of the bucket has, keep them from the threshold
+    with a set as small as the bucket's least.
     """
-    about = store.keep(buckets.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("n").alias("least")).where("a <> b").select("k", "least"))
-    open_ = buckets.join(about, F.col("key") == F.col("k"))
+    buckets = store.keep(buckets)
+    least = buckets.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b"), F.min("n").alias("least")).where("a <> b").select("k", "least")
     shared = F.col("n") - F.col("u")
     floor = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    rest = store.keep(open_.where(100 * shared >= percent * (F.col("n") + floor - shared)).select("key", "doc", "n", "u", "root"))
-    again = store.keep(rest.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k"))
-    return rest.join(again, F.col("key") == F.col("k"), "left_semi")
+    rest = store.keep(buckets.join(least, F.col("key") == F.col("k")).where(100 * shared >= percent * (F.col("n") + floor - shared)).select("key", "doc", "n", "u", "root"))
+    again = rest.groupBy(F.col("key").alias("k")).agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("k")
+    out = store.keep(rest.join(again, F.col("key") == F.col("k"), "left_semi"))
+    store.drop(buckets, rest)
+    return out
 
 
 def rooted(table: DataFrame, roots: DataFrame, node: str, name: str) -> DataFrame:

@@ -60,6 +60,28 @@ def test_groups_equal_brute_force(spark):
     assert left == {k for k, _, _, kept in brute(docs) if kept}
 
 
+def test_a_crowd_without_a_centre_equals_brute_force(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(140)]
+    docs = []
+    for k in range(150):  # most pairs lie just under the threshold, and share some of their edits
+        words = list(base)
+        for _ in range(rng.randint(1, 6)):
+            words[rng.randrange(140)] = rng.choice(["x", "y", f"own{k}"])
+        docs.append((1000 - k, " ".join(words)))
+    docs += [(k, " ".join([*base[:100], *(f"p{k}x{i}" for i in range(40))])) for k in range(60)]
+    want = brute(docs)
+    assert 40 < sum(kept for *_, kept in want) < 200
+    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())) == want
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(50000)}" for _ in range(200_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:190_000])), (3, " ".join(words[:150_000])), (4, "w1 " * 300_000)]
+    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())) == brute(docs)
+
+
 def test_odd_rows(spark):
     docs = [(None, "a b c d e f"), (None, "a b c d e f"), (9, "a b c d e f"), (9, "a b c d e f"), (3, "x y z"), (3, "a b c d e f"), (8, "X Y Z")]
     table = spark.createDataFrame(docs, "doc_id bigint, text string")
