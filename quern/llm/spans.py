@@ -15,16 +15,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.runs import find_runs
 from quern.llm.store import Store
 from quern.llm.vectors import BLANK_WORDS, U, blocks, mix, prefix, spans, words
 
-RUN = "doc bigint, begin int, n int, lead int, a bigint, c bigint"
-RUN_COLUMNS = ["doc", "begin", "n", "lead", "a", "c"]
-_RUN = pa.schema([("doc", pa.int64()), ("begin", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()), ("a", pa.int64()), ("c", pa.int64())])
+RUN = "doc bigint, row bigint, begin int, n int, lead int, a bigint, c bigint"
+RUN_COLUMNS = ["doc", "row", "begin", "n", "lead", "a", "c"]
+_RUN = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("begin", pa.int32()), ("n", pa.int32()), ("lead", pa.int32()), ("a", pa.int64()), ("c", pa.int64())])
 
 Symbols = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
@@ -34,20 +34,25 @@ def word_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return names, first
 
 
-def _batch(doc: pa.Array, begin, n, lead, a, c) -> pa.RecordBatch:
-    of = [doc, *(pa.array(x.astype(np.int32)) for x in (begin, n, lead)), pa.array(a.view(np.int64)), pa.array(c.view(np.int64))]
+def numbered(store: Store, docs: DataFrame, *columns: Column) -> DataFrame:
+    """docs(doc, text, columns) with row, a number of its own for each row; kept, so that a row never gets another."""
+    return store.keep(docs.select("doc", F.monotonically_increasing_id().alias("row"), "text", *columns))
+
+
+def _batch(rows: pa.RecordBatch, owner: np.ndarray, begin, n, lead, a, c) -> pa.RecordBatch:
+    of = [*(rows.column(i).take(pa.array(owner)) for i in (0, 1)), *(pa.array(x.astype(np.int32)) for x in (begin, n, lead)), pa.array(a.view(np.int64)), pa.array(c.view(np.int64))]
     return pa.RecordBatch.from_arrays(of, schema=_RUN)
 
 
 def runs(docs: DataFrame, symbols: Symbols, length: int, k: int) -> DataFrame:
-    """One row for each run of windows of docs(doc, text)."""
+    """One row for each run of windows of docs(doc, row, text)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches):
             doc, *rest = find_runs(*symbols(texts), length, k)
-            yield _batch(rows.column(0).take(pa.array(doc)), *rest)
+            yield _batch(rows, doc, *rest)
 
-    return docs.select("doc", "text").mapInArrow(find, RUN)
+    return docs.select("doc", "row", "text").mapInArrow(find, RUN)
 
 
 def reopened(docs: DataFrame, todo: DataFrame, symbols: Symbols, length: int, width: int) -> DataFrame:
@@ -72,36 +77,36 @@ def reopened(docs: DataFrame, todo: DataFrame, symbols: Symbols, length: int, wi
             core = mix(spans(sums, anchor - q * width, anchor - q * width - width + 1 + length) + U(1))
             body = spans(sums, start, start + size - 1 + length)
             kind = mix(mix(body) + core + (size * 1_000_003 + (far - q * width)).astype(U))
-            yield _batch(rows.column(0).take(pa.array(owner[run])), start - base, size, far, core, kind)
+            yield _batch(rows, owner[run], start - base, size, far, core, kind)
 
-    grouped = todo.groupBy("doc").agg(F.collect_list(F.struct("begin", "n", "lead")).alias("todo"))
-    return docs.join(grouped, docs["doc"].eqNullSafe(grouped["doc"])).select(docs["doc"], "text", "todo").mapInArrow(cut, RUN)
+    grouped = todo.groupBy("row").agg(F.collect_list(F.struct("begin", "n", "lead")).alias("todo"))
+    return docs.join(grouped, "row").select("doc", "row", "text", "todo").mapInArrow(cut, RUN)
 
 
 def classes(found: DataFrame) -> DataFrame:
     """Each class once, with its first and last place."""
-    place = F.struct("doc", "begin")
+    place = F.struct("doc", "row", "begin")
     return found.groupBy("a", "c").agg(F.min(place).alias("f"), F.max(place).alias("g"), F.first("n").alias("n"), F.first("lead").alias("lead"))
 
 
 def decided(found: DataFrame, known: DataFrame, keep_first: bool) -> DataFrame:
     """Runs whose windows occur elsewhere (keep_first: earlier)."""
-    twice = known.where(F.col("f") != F.col("g")).select(F.col("a").alias("a2"), F.col("c").alias("c2"), "f")
+    twice = known.where(~F.col("f").eqNullSafe(F.col("g"))).select(F.col("a").alias("a2"), F.col("c").alias("c2"), "f")
     out = found.join(twice, (F.col("a") == F.col("a2")) & (F.col("c") == F.col("c2")))
-    return (out.where(F.struct("doc", "begin") != F.col("f")) if keep_first else out).select("doc", "begin", "n")
+    return (out.where(~F.struct("doc", "row", "begin").eqNullSafe(F.col("f"))) if keep_first else out).select("row", "begin", "n")
 
 
 def undecided(store: Store, known: DataFrame) -> DataFrame:
     """One run of each class whose anchor has several classes."""
     several = store.keep(known.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a2"))
-    return known.join(several, F.col("a") == F.col("a2")).select("f.doc", "f.begin", "n", "lead")
+    return known.join(several, F.col("a") == F.col("a2")).select("f.row", "f.begin", "n", "lead")
 
 
 def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: int, k: int, width: int, keep_first: bool) -> DataFrame:
-    """(doc, spans: begin, n): runs of windows of docs(doc, text) whose symbols also begin elsewhere; with keep_first, only where they do so earlier.
+    """(row, spans: begin, n): runs of windows of docs(doc, row, text) whose symbols also begin elsewhere; with keep_first, only where they do so earlier.
 
-    Order is by doc, then place.  doc ought to be unique; rows that share one
-    count as one text's variants, whose equal places are the same place.
+    Order is by doc (null first), then row, then place.  Rows that share a doc are
+    texts of their own.
     """
     every = runs(docs, symbols, length, k)
     # kept, so that the joins stand right above their exchanges and Spark can split a frequent anchor's rows
@@ -111,8 +116,7 @@ def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: in
     done = [store.keep(decided(found, known, keep_first))]
     todo = store.keep(undecided(store, known))
     store.drop(found, known, often)
-    some = todo.select(F.col("doc").alias("doc2")).distinct()
-    part = store.keep(docs.join(some, docs["doc"].eqNullSafe(F.col("doc2")), "left_semi").select("doc", "text"))
+    part = store.keep(docs.join(todo.select("row").distinct(), "row", "left_semi").select("doc", "row", "text"))
     for bins in (width, 1):
         found = store.keep(reopened(part, todo, symbols, length, bins))
         known = store.keep(classes(found))
@@ -122,13 +126,13 @@ def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: in
         store.drop(found, known)
     store.drop(part)
     every_done = done[0].unionByName(done[1]).unionByName(done[2])
-    return every_done.groupBy("doc").agg(F.collect_list(F.struct("begin", "n")).alias("spans"))
+    return every_done.groupBy("row").agg(F.collect_list(F.struct("begin", "n")).alias("spans"))
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs(doc, text) with the spans of each (null: none)."""
-    found = found.select(F.col("doc").alias("doc2"), "spans")
-    return docs.join(found, docs["doc"].eqNullSafe(F.col("doc2")), "left").drop("doc2")
+    """docs(doc, row, text) with the spans of each (null: none) in the last column."""
+    own = [x for x in docs.columns if x != "row"]
+    return docs.join(found, "row", "left").select(*own, "spans")
 
 
 def covered(rows: pa.RecordBatch, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

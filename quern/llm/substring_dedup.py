@@ -1,12 +1,18 @@
-"""Substring removal by relative Lempel-Ziv parsing, over words.
-
-The reference is every document, cut where winnowing chooses a word sequence, so
-that equal text is cut into equal blocks; the index holds each block's name.  A
-document is parsed from left to right into its own blocks: a block that the index
-has from elsewhere is a factor copied whole, and neighbouring factors join.  Where
-a copy ends, at a factor's boundary, the block is checked again in ever shorter
-pieces down to the single window of 35 words, against every block that shares its
-anchor.  What is covered by windows that occur elsewhere is a duplicate span.
+"""Substring removal over words: every window of 35 words that occurs more than once goes.
+
+The corpus is its own reference.  Winnowing cuts every document into runs of
+windows that share an anchor, so equal text is cut alike; the index holds each
+run's name, and a run that the index has from elsewhere is a factor copied whole.
+Where a copy ends, at a factor's boundary, the run differs from those that share
+its anchor; it is opened into shorter pieces, down to the single window of 35
+words, and each is looked up again.  What is covered by windows that occur
+elsewhere is a duplicate span.
+
+This stands in for relative Lempel-Ziv parsing and isn't it: no document is read
+against a reference block from left to right for its longest factors.  A greedy
+parse holds one block at a time against all documents, so its cost is documents
+times blocks; the index answers the same question, which windows occur elsewhere,
+in three passes over the corpus.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import covered, repeated_windows, with_spans, word_symbols
+from quern.llm.spans import covered, numbered, repeated_windows, with_spans, word_symbols
 from quern.llm.store import Store
 from quern.llm.vectors import BLANK_WORDS, blocks, words
 
@@ -26,9 +32,9 @@ LENGTH, ANCHOR, BIN = 35, 10, 4
 
 
 def factors(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """docs as (doc, text), and for each doc the runs of windows of `length` words that occur elsewhere."""
-    docs = docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("text"))
+    """docs as (doc, row, text), and for each row the runs of windows of `length` words that occur elsewhere."""
     store = Store(docs.sparkSession, "substring")
+    docs = numbered(store, docs.select(docs[id].cast("bigint").alias("doc"), docs[text].alias("text")))
     return docs, repeated_windows(store, docs, word_symbols, length, ANCHOR, BIN, keep_first=False)
 
 
@@ -37,7 +43,9 @@ def remove_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", l
 
     A null, empty or blank text has no words; a document of fewer words than a
     window loses nothing; all copies of a repeated window go, in one document
-    as in several.  Other columns of docs are not read.
+    as in several.  Rows that share an id, or have none, are documents of their
+    own, repeated rows copies of each other.  An empty table has no rows.  Texts
+    may have up to 2^28 words.  Other columns of docs are not read.
     """
     docs, found = factors(docs, id, text, length)
 

@@ -1,14 +1,17 @@
-"""Substring removal by prefix doubling.
-
-The rank of a position is that of the bytes that begin there; equal bytes have
-equal ranks.  Ranks of 25 bytes come first, over the positions that winnowing
-keeps (each 100-byte window keeps one, and equal windows the same one), then ranks
-at growing lengths over the positions still in play: Spark groups the positions by
-rank, drops those whose rank is unique, and ranks the rest anew until their rank
-is unique or the threshold of 100 bytes is reached.  A rank is a 64-bit name in
-place of a dense number, for that needs no total order of all positions; the name
-of a longer span comes from two prefix sums, as that of a doubled span comes from
-the pair of ranks at its two offsets.
+"""Substring removal over bytes: every 100-byte string that also starts earlier goes.
+
+Positions are named by the bytes that begin there, and Spark groups them by name
+at growing lengths until a name is unique or the length has reached 100: first 25
+bytes, at the positions that winnowing keeps (each 100-byte window keeps one, and
+equal windows the same one); then the run of windows around such a position; of
+runs that share the 25 bytes and differ, the 93 bytes that 8 neighbouring windows
+share; and at last the 100 bytes of each window.  After each round the positions
+whose name is unique, and those whose run is decided, are out.
+
+This is prefix doubling's idea, not its letter: there is no order of all
+positions, a name is a 64-bit hash of the span (from two prefix sums) in place of
+a dense rank of a pair of ranks, and the lengths aren't doubled, as ranking every
+byte of the corpus at 1, 2, 4 ... 64 bytes would shuffle the corpus a hundredfold.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import covered, repeated_windows, with_spans
+from quern.llm.spans import covered, numbered, repeated_windows, with_spans
 from quern.llm.store import Store
 from quern.llm.vectors import blocks, byte_symbols
 
@@ -29,9 +32,10 @@ LENGTH, RANK0, BIN = 100, 25, 8
 
 
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """docs as (doc, text), and for each doc the runs of `length`-byte windows that also begin earlier."""
-    docs = docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("text"))
+    """docs as (doc, row, text, whole: all its columns but the text), and for each row the runs of `length`-byte windows that also begin earlier."""
     store = Store(docs.sparkSession, "suffix")
+    whole = F.struct(*(docs[x] for x in docs.columns if x != text))
+    docs = numbered(store, docs.select(docs[id].cast("bigint").alias("doc"), docs[text].alias("text"), whole.alias("whole")), F.col("whole"))
     return docs, repeated_windows(store, docs, byte_symbols, length, RANK0, BIN, keep_first=True)
 
 
@@ -52,7 +56,7 @@ def digest(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     than `length` lose nothing; of equal texts the least id stays whole.  Other
     columns of docs are not read.
     """
-    docs, found = repeated_spans(docs, id, text, length)
+    docs, found = repeated_spans(docs.select(docs[id], docs[text]), id, text, length)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts, kept, removed, spans in _kept(batches, "text", length):
@@ -63,14 +67,14 @@ def digest(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """docs with the repeated bytes cut out of the text; what is left of a split character goes too.  A null text becomes empty."""
-    _, found = repeated_spans(docs, id, text, length)
+    schema = docs.schema
     at = docs.columns.index(text)
+    own, found = repeated_spans(docs, id, text, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts, kept, _, _ in _kept(batches, text, length):
+        for rows, _, kept, _, _ in _kept(batches, "text", length):
             new = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())
-            yield pa.RecordBatch.from_arrays([new if i == at else rows.column(i) for i in range(rows.num_columns - 1)], rows.schema.names[:-1])
+            other = rows.column(rows.schema.get_field_index("whole")).flatten()
+            yield pa.RecordBatch.from_arrays([*other[:at], new, *other[at:]], schema.names)
 
-    found = found.select(F.col("doc").alias("__doc"), F.col("spans").alias("__spans"))
-    joined = docs.join(found, docs[id].cast("bigint").eqNullSafe(F.col("__doc")), "left").select(*(docs[x] for x in docs.columns), "__spans")
-    return joined.mapInArrow(cut, docs.schema)
+    return with_spans(own, found).select("text", "whole", "spans").mapInArrow(cut, schema)

@@ -8,6 +8,7 @@ have equal names.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,6 +17,8 @@ import pyarrow as pa
 U = np.uint64
 #: Bytes of text handled at once; longer documents come alone.
 BLOCK = 1 << 18
+#: Words of more bytes are named by a cryptographic hash.
+LONG = 64
 
 _rng = np.random.Generator(np.random.PCG64(20240117))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -100,7 +103,11 @@ def words(texts: list[bytes], kind: np.ndarray, lower: bool = False) -> tuple[np
     inside = kind[buf]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     begin, end = edge[::2], edge[1::2]
-    return buf, begin, end, mix(spans(prefix(_BYTE[buf]), begin, end)), np.searchsorted(begin, at)
+    names = mix(spans(prefix(_BYTE[buf]), begin, end))
+    # sums modulo 2^64 tell long words of few letters apart badly, so those are hashed by themselves
+    for i in np.flatnonzero(end - begin > LONG).tolist():
+        names[i] = int.from_bytes(hashlib.blake2b(buf[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return buf, begin, end, names, np.searchsorted(begin, at)
 
 
 def byte_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

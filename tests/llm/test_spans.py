@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from quern.llm import substring_dedup, suffix_dedup
+from quern.llm import substring_dedup, suffix_dedup, vectors
 
 
 def by_bytes(docs, length=100):
@@ -76,6 +76,39 @@ def test_remove_repeats_keeps_columns(spark):
     assert (got[2].lang, got[2].spans, got[3].spans) == ("b", 6, None)
 
 
+def raw_rows(spark, docs):
+    return [tuple(r)[:3] for r in suffix_dedup.digest(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()]
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    none, nb = lambda t: (len(t.split()), 0), len(b.encode())
+    words = lambda docs: sorted(tuple(r)[:3] for r in substring_dedup.digest(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())
+    assert words([(1, a), (1, b), (2, a)]) == sorted([(1, 60, 60), (1, *none(b)), (2, 60, 60)])
+    assert words([(1, a), (1, a)]) == [(1, 60, 60)] * 2
+    raw = lambda docs: sorted(tuple(r)[:3] for r in suffix_dedup.digest(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())
+    assert raw([(1, a), (2, b), (2, a)]) == sorted([(1, nb, 0), (2, nb, 0), (2, nb, nb)])
+    assert raw([(1, a), (1, a)]) == [(1, nb, 0), (1, nb, nb)]
+    assert sorted(x[1:] for x in map(tuple, raw_rows(spark, [(None, a), (None, a), (1, a)]))) == [(nb, 0), (nb, nb), (nb, nb)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(120_000))
+    docs = [(1, long), (2, "x" * 3000 + long[5000:900_000]), (3, "y " * 200_000), (4, "ab" * 200 + " " + "ba" * 200 + " c")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r[0]: tuple(r)[1:] for r in suffix_dedup.digest(table).collect()} == by_bytes(docs)
+    assert {r[0]: tuple(r)[1:] for r in substring_dedup.digest(table).collect()} == by_words(docs)
+
+
+def test_long_words_of_two_letters_have_names_of_their_own():
+    one, two = "a", "b"
+    for _ in range(11):
+        one, two = one + two, two + one
+    _, _, _, names, _ = vectors.words([f"{one} {two}".encode()], vectors.BLANK_WORDS)
+    assert names[0] != names[1]
+
+
 def test_empty_tables(spark):
     table = spark.createDataFrame([], "doc_id bigint, text string")
     assert suffix_dedup.digest(table).collect() == [] and substring_dedup.digest(table).collect() == []
