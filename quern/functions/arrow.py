@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType, StructField, StructType
 
-#: Elements whose text doesn't count, and words of a fingerprint.
+#: Elements whose text doesn't count, elements without an end, and words of a fingerprint.
 DROPPED = {"script", "style", "noscript", "nav", "footer", "header", "aside", "form"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 WORDS = re.compile(r"[\w一-鿿]+")
 
 
@@ -54,22 +55,25 @@ def simhash_blake2b(texts: pd.Series) -> pd.Series:
 class _Text(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.depth, self.in_title, self.title, self.parts = 0, False, [], []
+        self.open, self.in_title, self.title, self.parts = [], False, [], []
 
     def handle_starttag(self, tag, attrs):
-        self.depth += tag in DROPPED
+        if tag not in VOID:
+            self.open.append(tag)
         self.in_title |= tag == "title"
 
     def handle_endtag(self, tag):
-        if tag in DROPPED:
-            self.depth = max(0, self.depth - 1)
-        elif tag == "title":
+        # an end closes what was left open within; one that closes nothing is passed over
+        if tag in self.open:
+            while self.open.pop() != tag:
+                pass
+        if tag == "title":
             self.in_title = False
 
     def handle_data(self, data):
         if self.in_title:
             self.title.append(data)
-        if not self.depth:
+        if DROPPED.isdisjoint(self.open):
             self.parts.append(data)
 
 

@@ -29,6 +29,12 @@ def simhash_md5(docs: DataFrame, id: str, text: str) -> DataFrame:
     return summed.select(id, (word("hi").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(20,0)") + word("lo")).cast("decimal(20,0)").cast("string").alias("simhash"), F.shiftleft(word("hi"), 32).bitwiseOR(word("lo")).alias("bits"))
 
 
+def unsigned(bits: Column) -> Column:
+    """A fingerprint's 64 bits as a decimal string."""
+    whole = bits.cast("decimal(20,0)")
+    return F.when(bits < 0, whole + F.lit(str(1 << 64)).cast("decimal(20,0)")).otherwise(whole).cast("decimal(20,0)").cast("string")
+
+
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
@@ -66,3 +72,10 @@ def byte_ids(text: Column, vocabulary: int = 259) -> Column:
     # cut once, outside of the function of a byte, which would read the text again for each
     pairs = F.regexp_extract_all(F.hex(F.encode(text, "utf-8")), F.lit("(..)"), F.lit(1))
     return F.transform(pairs, lambda p: (F.conv(p, 16, 10).cast("int") % (vocabulary - 2) + 1).cast("int"))
+
+
+def byte_text(ids: Column, vocabulary: int = 259) -> Column:
+    """The text of byte_ids(); 0 and the id that ends a text are passed over, and bytes that make no character become its replacement."""
+    own = F.filter(ids, lambda i: (i > 0) & (i < vocabulary - 1))
+    pairs = F.transform(own, lambda i: F.lpad(F.hex((i - 1).cast("bigint")), 2, "0"))
+    return F.decode(F.unhex(F.array_join(pairs, "")), "utf-8")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
+from quern.sources.tables import kept_table
 
 
 @dataclass(frozen=True)
@@ -57,20 +58,24 @@ def scored(docs: DataFrame, domain: str | None = None) -> DataFrame:
     return docs.withColumn("signals", T.quality_signals(F.col("clean"), kind, F.col("repeated_line_ratio"))).withColumn("quality_score", T.quality_score(F.col("signals")))
 
 
-def with_reasons(docs: DataFrame, rules: Cleaning, id: str = "doc_id", text: str = "text", domain: str | None = None, quality_first: bool = False) -> DataFrame:
+def with_reasons(docs: DataFrame, rules: Cleaning, id: str = "doc_id", text: str = "text", domain: str | None = None, quality_first: bool = False, columns: list[str] | None = None) -> DataFrame:
     """docs with one reason each: cleaning, then exact copies and quality in the mode's order.
 
     Copies are those of a document that passed all that comes before: with
-    quality_first, a poor first copy doesn't stand for the later ones.
+    quality_first, a poor first copy doesn't stand for the later ones.  columns:
+    those that are needed beside id, hash, reason and quality_score (all, if left
+    out).
     """
     out = scored(cleaned(docs, rules, text), domain).withColumn("hash", T.exact_hash(F.col("clean")))
     poor = F.when(F.col("quality_score") < rules.min_quality, "low_quality")
     if quality_first:
         out = out.withColumn("reason", F.coalesce("reason", poor))
+    # kept, as the texts are cleaned once for the search of copies and for the rows; which needs ids and hashes alone
+    out = kept_table(out if columns is None else out.select(id, *columns, "hash", "reason", "quality_score"))
+    first = out.where("reason is null").groupBy(F.col("hash").alias("__hash")).agg(F.min(id).alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
     passed = F.col("reason").isNull()
-    first = F.min(F.when(passed, F.col(id))).over(Window.partitionBy("hash"))
-    out = out.withColumn("reason", F.when(passed & (F.col(id) != first), "exact_duplicate").otherwise(F.col("reason")))
-    return out if quality_first else out.withColumn("reason", F.coalesce("reason", poor))
+    joined = out.join(first, F.col("hash") == F.col("__hash"), "left").withColumn("reason", F.when(passed & (F.col(id) != F.col("__first")), "exact_duplicate").otherwise(F.col("reason"))).drop("__hash", "__first")
+    return joined if quality_first else joined.withColumn("reason", F.coalesce("reason", poor))
 
 
 def rule_score(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,6 +27,20 @@ def counters(docs: DataFrame, by: str, reason: str) -> DataFrame:
     return docs.rollup(by).agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col(reason).isNull()).alias("written"), F.count(reason).alias("rejected"), F.grouping(by).alias("g")).select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(by)).alias(by), "seen", "written", "rejected")
 
 
+def reason_counts(docs: DataFrame, by: str, reason: str) -> DataFrame:
+    """(by, name, n): rejected_REASON for each reason of a group and, as TOTAL, of all."""
+    rolled = docs.where(F.col(reason).isNotNull()).groupBy(by, reason).agg(F.count(F.lit(1)).alias("n"))
+    every = rolled.unionByName(rolled.groupBy(reason).agg(F.sum("n").alias("n")).withColumn(by, F.lit("TOTAL")))
+    return every.select(by, F.concat(F.lit("rejected_"), F.col(reason)).alias("name"), F.col("n").cast("bigint").alias("n"))
+
+
+def flag_counts(docs: DataFrame, by: str, flag: str, name: str) -> DataFrame:
+    """(by, name, n): the rows of each group, and of all, that have the flag."""
+    rolled = docs.where(F.col(flag)).groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    every = rolled.unionByName(rolled.agg(F.sum("n").alias("n")).where("n is not null").withColumn(by, F.lit("TOTAL")))
+    return every.select(by, F.lit(name).alias("name"), F.col("n").cast("bigint").alias("n"))
+
+
 def advanced(log: DataFrame, by: str, order: str, total: str, interval: float) -> DataFrame:
     """Rows at which the running total passes another multiple of the interval."""
     bucket = F.floor(F.col(total) / interval)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.functions import text as T
+from quern.sources.tables import kept_table, scratch, spread  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,21 +26,12 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; texts, which take long a row, go to as many tasks as there are."""
+    read = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(read) if name in ("documents", "pages") else read
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the one that the cluster shares."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/quern-checkpoints"
-    return f"{base.rstrip('/')}/quern/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Written and read back, which cuts the lineage of a loop."""
-    spark = df.sparkSession
-    path = scratch(spark, "round")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+keep = kept_table
 
 
 def sql_strip(x: str) -> str:

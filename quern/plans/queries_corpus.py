@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.functions import text as T
+from quern.functions.prefix import bucket, cuts, running_total
+from quern.operators import dedup as D
 from quern.operators import metrics as M
-from quern.plans.base import query, sql_strip, table
+from quern.plans.base import keep, query, sql_strip, table
+from quern.sources import sinks
 
 _TURNS = f"""x AS (SELECT conv_id, turn, role, {sql_strip("coalesce(text, '')")} AS t, row_number() OVER (ORDER BY conv_id, turn) AS n FROM conversations),
 y AS (SELECT * FROM x WHERE t <> '')"""
@@ -34,26 +36,48 @@ def role_islands(spark, at):
 
 
 def split_runs(chapters, title: str, order: str, text: str, max_chars: int, min_chars: int):
-    """(title, part, n, text): each title's chapters in order, a new part once one holds max_chars; only the last part can be too short, and then goes."""
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group, out, held, size = group.sort_values(order, kind="stable"), [], [], 0
-        for t in group[text]:
-            held.append(t)
-            size += len(t) + 2
-            if size >= max_chars:
-                out.append((group[title].iloc[0], len(out), len(held), "\n\n".join(held)))
-                held, size = [], 0
-        if held and size >= min_chars:
-            out.append((group[title].iloc[0], len(out), len(held), "\n\n".join(held)))
-        return pd.DataFrame(out, columns=["title", "part", "n", "text"])
-
-    return chapters.groupBy(title).applyInPandas(fold, "title bigint, part bigint, n bigint, text string")
-
-
-@query("concat_split")
+    """(first, title, part, n, text): chapters in order, a run of one title each, joined by an empty line.
+
+    A run ends where the title changes, so two runs of one title are two.  A new
+    part begins once one holds max_chars; a run's last part goes if it has less
+    than both max_chars and min_chars.  A null or empty title is `untitled`; empty
+    chapters are passed over.  `order` holds whole numbers, each once.
+    """
+    name = T.strip(F.coalesce(F.col(title).cast("string"), F.lit("")))
+    own = chapters.select(F.col(order).alias("k"), F.when(name == "", "untitled").otherwise(name).alias("title"), T.strip(F.coalesce(F.col(text), F.lit(""))).alias("t")).where("t <> ''")
+    own = keep(own.withColumn("size", (F.length("t") + 2).cast("bigint")))
+    run = islands(own.select("k", "title"), "k", "title").select(F.col("k").alias("k2"), "run")
+    cut = sinks.rolled(own.join(run, F.col("k") == F.col("k2")).drop("k2"), "run", ["k"], F.col("size"), max_chars, before=False)
+    parts = cut.groupBy("run", "title", F.col("shard").alias("part")).agg(F.array_sort(F.collect_list(F.struct("k", "t"))).alias("c"), F.sum("size").alias("size"))
+    parts = parts.where(F.col("size") >= min(max_chars, min_chars))
+    return parts.select(F.col("c")[0]["k"].alias("first"), "title", "part", F.size("c").cast("bigint").alias("n"), F.array_join(F.col("c.t"), "\n\n").alias("text"))
+
+
+def islands(rows, key: str, value: str, rows_each: int = 20_000):
+    """rows with run, a number for each stretch of equal values in the order of key; nulls are equal.
+
+    Stretches are told within buckets of neighbouring keys, and each bucket's first
+    row from the last one of the bucket before.
+    """
+    cut = rows.withColumn("__b", bucket(F.col(key), cuts(rows, key, rows_each)))
+    w = Window.partitionBy("__b").orderBy(key)
+    last = cut.groupBy("__b").agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("last"))  # a row a bucket
+    before = last.select("__b", F.lag("last").over(Window.orderBy("__b")).alias("__prior"))
+    cut = cut.withColumn("__prev", F.lag(F.struct(F.col(value).alias("v"))).over(w)).join(F.broadcast(before), "__b")
+    cut = cut.withColumn("__new", F.when(F.coalesce("__prev", "__prior").eqNullSafe(F.struct(F.col(value).alias("v"))), 0).otherwise(1)).drop("__b", "__prev", "__prior")
+    return running_total(cut, key, "__new", "__run", rows_each).withColumn("run", F.col("__run") + F.col("__new")).drop("__new", "__run")
+
+
+@query("concat_split", f"""WITH RECURSIVE {_TURNS}, z AS (SELECT n AS k, CAST(conv_id // 2 % 2 AS VARCHAR) AS title, t, length(t) + 2 AS size FROM y),
+f AS (SELECT *, CASE WHEN title IS DISTINCT FROM lag(title) OVER (ORDER BY k) THEN 1 ELSE 0 END AS new FROM z),
+g AS (SELECT *, sum(new) OVER (ORDER BY k) AS run FROM f), i AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY k) AS i FROM g),
+p AS (SELECT run, i, size AS held, 0::BIGINT AS part FROM i WHERE i = 1
+  UNION ALL SELECT i.run, i.i, CASE WHEN p.held >= 2000 THEN i.size ELSE p.held + i.size END, CASE WHEN p.held >= 2000 THEN p.part + 1 ELSE p.part END FROM p JOIN i ON i.run = p.run AND i.i = p.i + 1)
+SELECT min(k) AS first, title, part, count(*) AS n, sha256(string_agg(t, chr(10) || chr(10) ORDER BY k)) AS text FROM p JOIN i USING (run, i) GROUP BY run, title, part HAVING sum(size) >= 500""")
 def concat_split(spark, at):
-    return split_runs(_chapters(spark, at).select("conv_id", "turn", "t"), "conv_id", "turn", "t", 2000, 500).withColumn("text", F.sha2("text", 256))
+    c = table(spark, at, "conversations")
+    numbered = running_total(c.withColumn("k", F.col("conv_id") * 100_000 + F.col("turn")).withColumn("one", F.lit(1).cast("bigint")), "k", "one", "n").withColumn("n", F.col("n") + 1)
+    return split_runs(numbered.withColumn("title", F.floor(F.col("conv_id") / 2) % 2), "title", "n", "text", 2000, 500).withColumn("text", F.sha2("text", 256))
 
 
 _LOSS = "e AS (SELECT doc_id, toxic, quality, lang, (length(text) % 97) / 10.0 AS loss, greatest(1, strlen(text) // 4) AS n FROM documents JOIN labels USING (doc_id))"
@@ -74,7 +98,7 @@ def exact_match_rate(spark, at):
 
 @query("latest_status_summary", "WITH l AS (SELECT user_id, max_by(event_type, event_id) AS status, max_by(value, event_id) AS value FROM events GROUP BY user_id) SELECT status, count(*) AS n, round(sum(value), 4) AS total FROM l GROUP BY ALL")
 def latest_status_summary(spark, at):
-    last = table(spark, at, "events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("status"), F.max_by("value", "event_id").alias("value"))
+    last = D.latest(table(spark, at, "events").select("user_id", "event_id", F.col("event_type").alias("status"), "value"), ["user_id"], "event_id")
     return last.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from quern.functions import hashing as H
@@ -81,7 +83,7 @@ def serial_reasons(docs, rules):
     A copy of a kept text is exact; a copy of a text that was itself dropped as
     near is near.  Equal fingerprints are one row for the pair search.
     """
-    base = C.with_reasons(docs, C.Cleaning(min_quality=0.0)).select("doc_id", "clean", "reason", "hash", "quality_score")
+    base = C.with_reasons(docs, replace(rules, min_quality=0.0), columns=["clean"]).select("doc_id", "clean", "reason", "hash", "quality_score")
     passed = keep(base.where("reason is null or reason = 'exact_duplicate'"))
     first = D.exact(passed.select("doc_id", "hash"), "doc_id", "hash")
     prints = keep(H.simhash_md5(passed.where("reason is null").select("doc_id", "clean"), "doc_id", "clean").select("doc_id", "bits"))
@@ -105,8 +107,12 @@ def near_dup_serial(spark, at):
 
 
 def partitioned_reasons(docs, rules, print_of=None, cap=4096):
-    """(doc_id, reason): the partitioned mode: quality first, exact copies by hash, near copies per band's group, exact before near."""
-    base = keep(C.with_reasons(docs, rules, quality_first=True).select("doc_id", "clean", "reason", "hash"))
+    """(doc_id, reason, capped): the partitioned mode: quality first, exact copies by hash, near copies per band's group, exact before near.
+
+    capped: the row came to a group that already held `cap` kept ones, and wasn't
+    compared with the later ones there; the serial mode has no such bound.
+    """
+    base = keep(C.with_reasons(docs, rules, quality_first=True, columns=["clean"]).select("doc_id", "clean", "reason", "hash"))
     candidates = base.where("reason is null or reason = 'exact_duplicate'").select("doc_id", "clean")
     if print_of is None:
         prints = H.simhash_md5(candidates, "doc_id", "clean").select("doc_id", "bits")
@@ -114,9 +120,10 @@ def partitioned_reasons(docs, rules, print_of=None, cap=4096):
         number = print_of(F.col("clean")).cast("decimal(20,0)")
         half = F.lit(str(1 << 63)).cast("decimal(20,0)")  # the number as a signed one
         prints = candidates.select("doc_id", F.when(number >= half, number - half - half).otherwise(number).cast("bigint").alias("bits"))
-    near = D.banded_groups(prints, "doc_id", cap=cap).where("first_id is not null").select(F.col("id").alias("d"))
+    near = D.banded_groups(prints, "doc_id", cap=cap).select(F.col("id").alias("d"), "first_id", F.col("capped").alias("full"))
     out = base.join(near, F.col("doc_id") == F.col("d"), "left")
-    return out.select("doc_id", F.coalesce("reason", F.when(F.col("d").isNotNull(), "near_duplicate"), F.lit("kept")).alias("reason"))
+    reason = F.coalesce("reason", F.when(F.col("first_id").isNotNull(), "near_duplicate"), F.lit("kept"))
+    return out.select("doc_id", reason.alias("reason"), (F.coalesce("full", F.lit(False)) & (reason == "kept")).alias("capped"))
 
 
 @query("near_dup_partitioned")
@@ -138,7 +145,7 @@ def near_dup_partitioned_blake2b(spark, at):
   SELECT doc_id, 0 AS priority, 'exact' AS reason FROM r WHERE reason = 'exact_duplicate' UNION ALL SELECT doc_id, 1, 'labelled' FROM labels WHERE toxic = 1)
 SELECT doc_id, min_by(reason, priority) AS reason FROM d GROUP BY doc_id""")
 def drop_reasons(spark, at):
-    exact = C.with_reasons(table(spark, at, "documents"), C.STRICT).where("reason = 'exact_duplicate'").select(F.col("doc_id").alias("id"), F.lit(0).alias("priority"), F.lit("exact").alias("reason"))
+    exact = C.with_reasons(table(spark, at, "documents"), C.STRICT, columns=[]).where("reason = 'exact_duplicate'").select(F.col("doc_id").alias("id"), F.lit(0).alias("priority"), F.lit("exact").alias("reason"))
     other = table(spark, at, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"), F.lit(1).alias("priority"), F.lit("labelled").alias("reason"))
     return D.first_reason(exact.unionByName(other)).withColumnRenamed("id", "doc_id")
 

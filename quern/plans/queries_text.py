@@ -12,7 +12,7 @@ from quern.plans.base import SQL_CLEANED, SQL_DEDUP, query, sql_clean, sql_cover
 
 
 def _counts(rules, quality_first=False):
-    return lambda spark, at: C.with_reasons(table(spark, at, "documents"), rules, quality_first=quality_first).groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("clean")).cast("bigint").alias("chars"))
+    return lambda spark, at: C.with_reasons(table(spark, at, "documents"), rules, quality_first=quality_first, columns=[F.length("clean").alias("len")]).groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum("len").cast("bigint").alias("chars"))
 
 
 def _counts_sql(**x):
@@ -26,12 +26,12 @@ query("clean_reject_counts_quality_first", _counts_sql(alpha=0.75, rep=0.10, qua
 
 @query("clean_reasons", f"WITH {sql_reasons(alpha=0.75, rep=0.10, quality=0.95)} SELECT doc_id, coalesce(reason, '') AS reason FROM r")
 def clean_reasons(spark, at):
-    return C.with_reasons(table(spark, at, "documents"), C.STRICT).select("doc_id", F.coalesce("reason", F.lit("")).alias("reason"))
+    return C.with_reasons(table(spark, at, "documents"), C.STRICT, columns=[]).select("doc_id", F.coalesce("reason", F.lit("")).alias("reason"))
 
 
 @query("reject_counters", f"WITH {sql_reasons(alpha=0.75, rep=0.10, quality=0.95)} SELECT coalesce(source, 'TOTAL') AS source, count(*) AS seen, count(*) FILTER (reason IS NULL) AS written, count(reason) AS rejected FROM r GROUP BY ROLLUP (source)")
 def reject_counters(spark, at):
-    return M.counters(C.with_reasons(table(spark, at, "documents"), C.STRICT), "source", "reason")
+    return M.counters(C.with_reasons(table(spark, at, "documents"), C.STRICT, columns=["source"]), "source", "reason")
 
 
 @query("clean_metrics", f"WITH {SQL_CLEANED} SELECT doc_id, CAST(length(clean) AS BIGINT) AS chars, round(alpha, 6) AS alpha_or_cjk_ratio, round(rep, 6) AS repeated_line_ratio, round(ctl, 6) AS control_char_ratio FROM m")

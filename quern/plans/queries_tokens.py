@@ -166,10 +166,24 @@ def numbered_shards(spark, at):
     return sinks.numbered_shards(table(spark, at, "documents").select("source", "doc_id"), ["doc_id"], 16).select("source", "shard", "doc_id")
 
 
-@query("sized_shards", "WITH x AS (SELECT source, doc_id, sum(strlen(text) + 1) OVER (PARTITION BY source ORDER BY doc_id) AS run FROM documents) SELECT source, doc_id, CAST((run - 1) // 65536 AS BIGINT) AS shard FROM x")
+def _rolled(passes: str) -> str:
+    """Each record in turn, as a writer sees it: the size held by the open shard decides whether the next one opens another."""
+    return f"""WITH RECURSIVE x AS (SELECT source, doc_id, strlen(text) + 1 AS size, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
+r AS (SELECT source, doc_id, i, size AS held, 0::BIGINT AS shard FROM x WHERE i = 1
+  UNION ALL SELECT x.source, x.doc_id, x.i, CASE WHEN {passes} THEN x.size ELSE r.held + x.size END, CASE WHEN {passes} THEN r.shard + 1 ELSE r.shard END FROM r JOIN x ON x.source = r.source AND x.i = r.i + 1)
+SELECT source, doc_id, shard FROM r"""
+
+
+@query("sized_shards", _rolled("r.held + x.size > 65536"))
 def sized_shards(spark, at):
-    run = F.sum(F.octet_length("text") + 1).over(Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    return table(spark, at, "documents").select("source", "doc_id", F.floor((run - 1) / 65536).cast("bigint").alias("shard"))
+    d = table(spark, at, "documents").select("source", "doc_id", F.octet_length("text").alias("bytes"))
+    return sinks.rolled(d, "source", ["doc_id"], F.col("bytes") + 1, 65536).select("source", "doc_id", "shard")
+
+
+@query("filled_shards", _rolled("r.held >= 65536"))
+def filled_shards(spark, at):
+    d = table(spark, at, "documents").select("source", "doc_id", F.octet_length("text").alias("bytes"))
+    return sinks.rolled(d, "source", ["doc_id"], F.col("bytes") + 1, 65536, before=False).select("source", "doc_id", "shard")
 
 
 @query("canonical_records", "SELECT CAST(doc_id AS VARCHAR) AS id, sha256(text) AS text, source, coalesce(nullif(lang, 'es'), 'unknown') AS domain, 'unknown' AS language, '{}' AS metadata FROM documents")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quern.plans import queries_corpus, queries_dedup, queries_manifest, queries_text, queries_tokens
+from quern.plans import queries_corpus, queries_dedup, queries_layout, queries_manifest, queries_text, queries_tokens
 from quern.plans.base import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "queries_corpus", "queries_dedup", "queries_manifest", "queries_text", "queries_tokens"]
+__all__ = ["ORACLE", "QUERIES", "queries_corpus", "queries_dedup", "queries_layout", "queries_manifest", "queries_text", "queries_tokens"]

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from quern.functions import text as X
 from quern.functions.arrow import html_text
 
-#: What a code tree yields, and what it leaves out.
-EXTENSIONS = ["py", "js", "ts", "java", "c", "cc", "cpp", "h", "hpp", "go", "rs", "rb", "php", "cs", "scala", "kt", "swift", "sh", "sql", "md"]
-SKIPPED_FOLDERS = [".git", "node_modules", "dist", "build", "target", "vendor", "__pycache__", ".venv", "venv"]
+#: What a code tree yields, and what it leaves out, where a source doesn't say.
+EXTENSIONS = [".py", ".js", ".ts", ".tsx", ".java", ".go", ".rs", ".cpp", ".c", ".h", ".hpp", ".md", ".txt"]
+SKIPPED_FOLDERS = [".git", "node_modules", "vendor", "dist", "build", "__pycache__"]
 GZIP, ZSTD = b"\x1f\x8b", b"\x28\xb5\x2f\xfd"
 
 
@@ -41,6 +41,9 @@ class Source:
     limit: int | None = None
     max_file_bytes: int = 1_000_000
     lenient: bool = False
+    license: str = "unknown"
+    include_extensions: list[str] = field(default_factory=lambda: list(EXTENSIONS))
+    exclude_dirs: list[str] = field(default_factory=lambda: list(SKIPPED_FOLDERS))
     #: Columns of a JSONL file, as DDL; those named above if left out.
     schema: str | None = None
 
@@ -49,24 +52,32 @@ def documents(rows: DataFrame, source: Source, text: Column, id: Column, metadat
     """Rows of a scan as documents: those without text go and aren't counted; an id that is null, empty or 0 becomes NAME/INDEX.
 
     skip and limit count the rows that have text, skip within limit.  The index is
-    only made where something needs it, as it orders the whole source.
+    made for what needs it, from each file's count and the places within a file,
+    and no text goes through that.
     """
-    rows = rows.withColumn("__text", text.cast("string")).where("__text is not null").withColumn("__id", id.cast("string"))
-    rows = rows.withColumn("__index", F.row_number().over(Window.partitionBy(F.lit(source.name)).orderBy(*order)) - 1)
-    if source.limit is not None:
-        rows = rows.where(F.col("__index") < source.limit)
-    if source.skip:
+    rows = rows.withColumn("__text", text.cast("string")).where("__text is not null").withColumn("__id", F.when(~id.cast("string").isin("", "0"), id.cast("string")))
+    if source.limit is not None or source.skip:
+        rows = rows.join(indexed(rows, order), order)
+        if source.limit is not None:
+            rows = rows.where(F.col("__index") < source.limit)
         rows = rows.where(F.col("__index") >= source.skip)
-    given = F.when(F.col("__id").isin("", "0"), None).otherwise(F.col("__id"))
+    else:
+        given = rows.where("__id is not null").withColumn("__index", F.lit(None).cast("bigint"))
+        other = rows.where("__id is null")
+        rows = given.unionByName(other.join(indexed(rows, order), order))
     return rows.select(
-        F.coalesce(given, F.concat(F.lit(source.name + "/"), F.col("__index"))).alias("id"), F.col("__text").alias("text"), F.lit(source.name).alias("source"),
+        F.coalesce("__id", F.concat(F.lit(source.name + "/"), F.col("__index"))).alias("id"), F.col("__text").alias("text"), F.lit(source.name).alias("source"),
         F.lit(source.domain).alias("domain"), F.lit(source.language).alias("language"), metadata.alias("metadata"), *(F.col(o) for o in order),
     )
 
 
-def file_order(path: Column, paths: list[str]) -> Column:
-    """Files go by name."""
-    return path
+def indexed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """(file, line, __index) of rows(file, line): how many rows stand before, files by name and lines by number."""
+    places = rows.select(*order)
+    before = Window.orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1)
+    files = places.groupBy(order[0]).agg(F.count(F.lit(1)).alias("__n")).withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0)))  # a row a file
+    own = F.row_number().over(Window.partitionBy(order[0]).orderBy(*order[1:])) - 1
+    return places.withColumn("__own", own).join(files, order[0]).select(*order, (F.col("__base") + F.col("__own")).alias("__index"))
 
 
 def read(spark: SparkSession, source: Source) -> DataFrame:
@@ -201,6 +212,15 @@ def _binary(spark: SparkSession, source: Source, pattern: str | None = None) ->
     return files
 
 
+def stem(source: Source) -> Column:
+    """SOURCE/NAME of the file, without its last extension."""
+    return F.concat(F.lit(f"{source.name}/"), F.regexp_extract("file", r"([^/]+?)(?:\.[^./]*)?$", 1))
+
+
+def _about(source: Source, parser: str, *fields: Column) -> Column:
+    return F.to_json(F.struct(*fields, F.lit(source.license).alias("license"), F.lit(parser).alias("parser")))
+
+
 def text_like(content: Column) -> Column:
     """No NUL among the first 4096 bytes."""
     return ~F.contains(F.hex(F.substring(content, 1, 4096)), F.lit("00")) | ~F.hex(F.substring(content, 1, 4096)).rlike("^(?:..)*00")
@@ -209,7 +229,7 @@ def text_like(content: Column) -> Column:
 def read_text(spark: SparkSession, source: Source) -> DataFrame:
     """Whole files as documents; those too large or binary are skipped."""
     files = _binary(spark, source).where((F.col("length") <= source.max_file_bytes) & text_like(F.col("content")))
-    return documents(files, source, F.decode("content", "UTF-8"), F.regexp_extract("file", r"([^/]+?)(?:\.[^./]*)?$", 1), F.to_json(F.struct(F.col("file").alias("path"))), ["file", "line"])
+    return documents(files, source, F.decode("content", "UTF-8"), stem(source), _about(source, "text", F.col("file").alias("path")), ["file", "line"])
 
 
 def read_code(spark: SparkSession, source: Source) -> DataFrame:
@@ -217,24 +237,26 @@ def read_code(spark: SparkSession, source: Source) -> DataFrame:
     root = source.paths[0].rstrip("/")
     files = _binary(spark, source)
     relative = F.regexp_extract("file", f"\\Q{root.split('://')[-1]}\\E/(.*)$", 1)
-    files = files.withColumn("relative", relative).withColumn("ext", F.lower(F.regexp_extract("relative", r"\.([^./]+)$", 1)))
-    skipped = F.exists(F.split("relative", "/"), lambda p: p.isin(SKIPPED_FOLDERS))
-    files = files.where(F.col("ext").isin(EXTENSIONS) & ~skipped & (F.col("length") <= source.max_file_bytes) & text_like(F.col("content")))
-    return documents(files, source, F.decode("content", "UTF-8"), F.col("relative"), F.to_json(F.struct(F.lit(root).alias("repo"), F.col("relative").alias("path"), "ext")), ["file", "line"])
+    files = files.withColumn("relative", relative).withColumn("ext", F.lower(F.regexp_extract("relative", r"[^/](\.[^./]+)$", 1)))
+    skipped = F.exists(F.split("relative", "/"), lambda p: p.isin(source.exclude_dirs))
+    files = files.where(F.col("ext").isin([x.lower() for x in source.include_extensions]) & ~skipped & (F.col("length") <= source.max_file_bytes) & text_like(F.col("content")))
+    return documents(files, source, F.decode("content", "UTF-8"), F.concat(F.lit(f"{source.name}/"), "relative"), _about(source, "git", F.lit(root).alias("repo"), F.col("relative").alias("path"), F.col("ext")), ["file", "line"])
 
 
 def read_html(spark: SparkSession, source: Source) -> DataFrame:
     files = _binary(spark, source, "*.{html,htm,xhtml}").withColumn("page", html_text(F.decode("content", "UTF-8")))
-    return documents(files, source, F.col("page.text"), F.regexp_extract("file", r"([^/]+?)\.[^./]*$", 1), F.to_json(F.struct(F.col("page.title").alias("title"), F.col("file").alias("path"))), ["file", "line"])
+    return documents(files, source, F.col("page.text"), stem(source), _about(source, "html", F.col("page.title").alias("title"), F.col("file").alias("path")), ["file", "line"])
 
 
 def read_wiki(spark: SparkSession, source: Source) -> DataFrame:
     """Pages of name space 0 with text, their markup cleaned."""
     schema = "title string, ns string, id string, revision struct<text:string>"
     rows = spark.read.format("xml").option("rowTag", "page").schema(schema).load(",".join(source.paths))
-    rows = rows.select("*", F.lit("").alias("file"), F.monotonically_increasing_id().alias("line"))
+    # a page's number within its dump is its place there: dumps list pages by it, and it is the same in every scan
+    rows = rows.select("*", F.col("_metadata.file_path").alias("file"), F.col("id").cast("bigint").alias("line"))
+    rows = rows.withColumn("ns", F.coalesce("ns", F.lit("0")))
     rows = rows.where((F.col("ns") == "0") & (F.length(X.strip(F.coalesce("revision.text", F.lit("")))) > 0))
-    return documents(rows, source, X.wiki_clean(F.col("revision.text")), F.col("id"), F.to_json(F.struct("title")), ["file", "line"])
+    return documents(rows, source, X.wiki_clean(F.col("revision.text")), F.concat(F.lit(f"{source.name}/"), F.col("id")), _about(source, "wiki_xml", F.col("title"), F.col("file").alias("path")), ["file", "line"])
 
 
 def read_pdf(spark: SparkSession, source: Source) -> DataFrame:
@@ -247,7 +269,7 @@ def read_pdf(spark: SparkSession, source: Source) -> DataFrame:
         return contents.map(lambda x: "\n".join(p.extract_text() or "" for p in pypdf.PdfReader(io.BytesIO(x)).pages))
 
     files = _binary(spark, source, "*.pdf")
-    return documents(files, source, pages("content"), F.regexp_extract("file", r"([^/]+?)\.[^./]*$", 1), F.to_json(F.struct(F.col("file").alias("path"))), ["file", "line"])
+    return documents(files, source, pages("content"), stem(source), _about(source, "pdf", F.col("file").alias("path")), ["file", "line"])
 
 
 def resolve_urls(explicit: list[str], lists: list[str], listing: list[str], globs: list[str]) -> list[str]:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quern.functions import text as T
 
@@ -17,15 +20,44 @@ CANONICAL = ["id", "text", "source", "domain", "language", "metadata"]
 def sized_shards(records: DataFrame, order: list[str], max_bytes: int, before: bool = True, by: str = "source") -> DataFrame:
     """records with shard, per source and in order.
 
-    Shards are cut at multiples of max_bytes of the running size: with `before` a
-    record opens a new shard if it would pass the multiple, else the shard that
-    it fills keeps it.  So no shard exceeds the limit by more than one record.
+    With `before`, a record that would take its shard past max_bytes opens a new
+    one, so no shard of more than one record is larger than that; else the shard
+    that a record fills is closed after it.  `order` must tell a source's records
+    apart.
     """
     size = F.octet_length(F.to_json(F.struct(*[c for c in CANONICAL if c in records.columns]))) + 1
-    running = F.sum("__size").over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    out = records.withColumn("__size", size).withColumn("__run", running)
-    at = (F.col("__run") - 1) if before else (F.col("__run") - F.col("__size"))
-    return out.withColumn("shard", F.floor(at / max_bytes).cast("bigint")).drop("__size", "__run")
+    return rolled(records, by, order, size, max_bytes, before)
+
+
+def rolled(records: DataFrame, by: str, order: list[str], size: Column, most: int, before: bool = True) -> DataFrame:
+    """records with shard: a new one whenever the sizes of those in order would pass (before) or have reached (else) `most`.
+
+    Where a shard begins depends on where the last one did, so a group's sizes
+    pass through one task; but nothing else of its records does, and the task
+    holds only the batch at hand.
+    """
+    own = records.select(F.col(by).alias("__by"), *(F.col(o).alias(f"__o{i}") for i, o in enumerate(order)), size.cast("bigint").alias("__size"))
+    keys = [f"__o{i}" for i in range(len(order))]
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, shard, group = 0, 0, object()
+        for rows in batches:
+            out = []
+            for g, n in zip(rows.column(0).to_pylist(), rows.column(rows.num_columns - 1).to_pylist(), strict=True):
+                if g != group:
+                    held, shard, group = 0, 0, g
+                if before and held and held + n > most or not before and held >= most:
+                    held, shard = 0, shard + 1
+                held += n
+                out.append(shard)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(out, pa.int64())], [*rows.schema.names[:-1], "shard"])
+
+    schema = StructType([*own.schema.fields[:-1], StructField("shard", LongType())])
+    dealt = own.repartition("__by").sortWithinPartitions("__by", *keys).mapInArrow(cut, schema)
+    same = records[by].eqNullSafe(dealt["__by"])
+    for o, k in zip(order, keys, strict=True):
+        same = same & records[o].eqNullSafe(dealt[k])
+    return records.join(dealt, same).select(*(records[c] for c in records.columns), "shard")
 
 
 def numbered_shards(records: DataFrame, order: list[str], each: int, by: str = "source") -> DataFrame:
@@ -47,9 +79,9 @@ def canonical(records: DataFrame, defaults: dict[str, str] | None = None) -> Dat
     return records.select(*out)
 
 
-def write_shards(records: DataFrame, path: str, kind: str = "parquet") -> None:
+def write_shards(records: DataFrame, path: str, kind: str = "parquet", again: bool = False) -> None:
     """One file for each source and shard, in folders by both."""
-    writer = records.repartition("source", "shard").sortWithinPartitions("source", "shard").write.mode("errorifexists").partitionBy("source", "shard")
+    writer = records.repartition("source", "shard").sortWithinPartitions("source", "shard").write.mode("overwrite" if again else "errorifexists").partitionBy("source", "shard")
     if kind == "parquet":
         writer.option("compression", "zstd").option("parquet.block.size", str(64 << 20)).parquet(path)
     else:
@@ -83,13 +115,14 @@ def manifest_digest(manifest: DataFrame) -> str:
     return h.hexdigest()
 
 
-def write_manifest(manifest: DataFrame, path: str, version: str = "0.1.0") -> dict:
-    manifest.write.json(f"{path}/manifest")
+def write_manifest(manifest: DataFrame, path: str, version: str = "0.1.0", again: bool = False) -> dict:
+    mode = "overwrite" if again else "errorifexists"
+    manifest.write.mode(mode).json(f"{path}/manifest")
     spark = manifest.sparkSession
     own = spark.read.schema(manifest.schema).json(f"{path}/manifest")
     t = own.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum("num_records"), F.sum("estimated_tokens")).first()
     meta = {"manifest_version": version, "created_at": datetime.now(timezone.utc).isoformat(), "manifest_sha256": manifest_digest(own), "num_shards": t[0], "total_bytes": t[1] or 0, "total_records": t[2] or 0, "total_estimated_tokens": t[3] or 0}
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.text(f"{path}/meta")
+    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string").coalesce(1).write.mode(mode).text(f"{path}/meta")
     return meta
 
 
@@ -111,9 +144,9 @@ def validate_manifest(spark: SparkSession, path: str, schema) -> dict:
     return meta
 
 
-def save_state(hashes: DataFrame, path: str) -> None:
-    """Digests and fingerprints that were kept, for the next run."""
-    hashes.write.mode("append").parquet(path)
+def save_state(hashes: DataFrame, path: str, run: str) -> None:
+    """Digests and fingerprints that the run kept, for the next one; a run that is done again replaces its own."""
+    hashes.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def corpus_text(docs: DataFrame, path: str, text: str = "text") -> None:

@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import shutil
 
 import pytest
 import zstandard
@@ -42,18 +43,19 @@ def test_compression_by_first_bytes(spark, tmp_path):
 def test_wiki_html_code_text_csv(spark, tmp_path):
     page = lambda i, ns, text: f"<page><title>T{i}</title><ns>{ns}</ns><id>{i}</id><revision><text>{text}</text></revision></page>"
     (tmp_path / "w.xml").write_text("<mediawiki>" + page(1, 0, "[[Beta|Beta page]] ''body'' {{x}}") + page(2, 1, "talk") + page(3, 0, " ") + "</mediawiki>")
-    assert [(r.id, r.text.strip()) for r in readers.read(spark, Source("w", "wiki", [str(tmp_path / "w.xml")])).collect()] == [("1", "Beta page body")]
+    assert [(r.id, r.text.strip()) for r in readers.read(spark, Source("w", "wiki", [str(tmp_path / "w.xml")])).collect()] == [("w/1", "Beta page body")]
     tree = tmp_path / "repo"
     (tree / "node_modules").mkdir(parents=True)
     (tree / "a.py").write_text("print(1)")
     (tree / "b.bin").write_text("x")
     (tree / "c.py").write_bytes(b"a\0b")
     (tree / "node_modules" / "d.js").write_text("x")
-    assert ids(readers.read(spark, Source("r", "code", [str(tree)]))) == ["a.py"]
+    assert ids(readers.read(spark, Source("r", "code", [str(tree)]))) == ["r/a.py"]
+    assert ids(readers.read(spark, Source("r", "code", [str(tree)], include_extensions=[".JS", ".bin"], exclude_dirs=[]))) == ["r/b.bin", "r/node_modules/d.js"]
     (tmp_path / "h").mkdir()
     (tmp_path / "h" / "p.html").write_text("<title>Hi</title><nav>menu</nav><article>Body <b>text</b></article><script>x()</script>")
     r = readers.read(spark, Source("h", "html", [str(tmp_path / "h")])).first()
-    assert r.id == "p" and "Body text" in r.text and "menu" not in r.text and json.loads(r.metadata)["title"] == "Hi"
+    assert r.id == "h/p" and "Body text" in r.text and "menu" not in r.text and json.loads(r.metadata)["title"] == "Hi"
     (tmp_path / "c.csv").write_text('id,text\n1,"two\nlines"\n2,x\n')
     assert ids(readers.read(spark, Source("c", "csv", [str(tmp_path / "c.csv")]))) == ["1", "2"]
     assert len(readers.read(spark, Source("t", "text", [str(tree)])).collect()) == 3
@@ -67,14 +69,24 @@ def test_run(spark, tmp_path, mode):
     sources = [Source("x", "jsonl", [str(tmp_path / "a.jsonl")]), Source("y", "jsonl", [str(tmp_path / "b.jsonl")])]
     out = str(tmp_path / mode)
     run = Run(sources, out, C.Cleaning(min_quality=0.1), mode=mode, threshold=8, state=str(tmp_path / f"state-{mode}"))
-    spark.createDataFrame([], "hash string, bits bigint").write.parquet(run.state)
+    spark.createDataFrame([], "hash string, bits bigint").write.parquet(f"{run.state}/run=before")
     total = next(c for c in preprocess(spark, run) if c["source"] == "TOTAL")
-    assert total == {"source": "TOTAL", "seen": 5, "written": 2, "rejected": 3}
+    assert total == {"source": "TOTAL", "seen": 5, "written": 2, "rejected": 3, "rejected_exact_duplicate": 1, "rejected_near_duplicate": 1, "rejected_too_short": 1}
+    # cut off before the rejected rows and the counters were written: what is there stays, the rest is done
+    shards = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{out}/shards") for f in fs}
+    shutil.rmtree(f"{out}/rejected")
+    shutil.rmtree(f"{out}/stats")
+    assert next(c for c in preprocess(spark, run, resume=True) if c["source"] == "TOTAL") == total
+    assert spark.read.json(f"{out}/rejected").count() == 3 and shards == {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(f"{out}/shards") for f in fs}
+    with pytest.raises(ValueError, match="another configuration"):
+        preprocess(spark, Run(sources[:1], out, run.rules, mode=mode), resume=True)
+    simhash = [json.loads(r.metadata).get("simhash") for r in spark.read.parquet(f"{out}/shards").collect()]
+    assert all(x and 0 <= int(x) < 1 << 64 for x in simhash)
     assert ids(spark.read.parquet(f"{out}/shards")) == ["a", "d"]
     schema = sinks.build_manifest(spark, f"{out}/shards", "all").schema
     meta = sinks.validate_manifest(spark, f"{out}/manifest", schema)
     assert meta["total_records"] == 2
-    again = Run(sources, out + "-again", run.rules, mode=mode, threshold=8, state=run.state)
+    again = Run(sources, out + "-again", run.rules, mode=mode, threshold=8, state=run.state, name="1")
     assert next(c for c in preprocess(spark, again) if c["source"] == "TOTAL")["written"] == 0
     shard = next(os.path.join(d, f) for d, _, fs in os.walk(f"{out}/shards") for f in fs if f.endswith(".parquet"))
     os.remove(os.path.join(os.path.dirname(shard), "." + os.path.basename(shard) + ".crc"))
