@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.sources.tables import shared_folder
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -19,14 +19,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one where none is set, as in tests."""
-    if not (base := spark.conf.get("spark.checkpoint.dir", None)):
-        base = os.path.join(tempfile.gettempdir(), "quern-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 class Store:
     """A folder of its own under the shared one: keep() writes a table and reads it back, which cuts the lineage; drop() deletes it."""
 
