@@ -2,9 +2,13 @@
 
 A conversation's turns are laid end to end by prefix sums of their tokens, and a
 window takes the turns that end in the same stretch of `stride` tokens, so it is
-aligned to turns and holds less than two strides, if no turn is longer than one.  A window that doesn't begin the
-conversation repeats the system turn (where the first turn is one) and up to
-`history` turns before it.  Each turn becomes
+aligned to turns.  A turn of more than a stride is a window of its own, and starts
+the sums anew, so the others hold less than two strides.  A window that doesn't
+begin the conversation repeats the system turn (where the first turn is one) and
+then up to `history` turns before it, the nearest first, as far as the budget
+allows: all tokens of a window, what it repeats included, are within the budget,
+but for a single turn that is longer than that; this stands alone and whole, for
+no text is cut.  Each turn becomes
 
     <|im_start|>ROLE\\nTEXT<|im_end|>\\n
 
@@ -13,16 +17,20 @@ mark can appear there; unescaping takes it away.  The loss mask is a list of
 stretches of the window's text, in code points: the assistant's texts, but not
 those that a window repeats.
 
-No group is gathered but a window's own turns, and they are bounded by the budget.
+A turn's tokens are estimated, as no tokenizer is a DataFrame function; another
+estimate may be given.  No group is gathered but a window's own turns, and they
+are bounded by the budget or are one turn and no more.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
-STRIDE, HISTORY = 1024, 2
+STRIDE, HISTORY, BUDGET = 1024, 2, 4096
 
 
 def escaped(text: Column) -> Column:
@@ -47,33 +55,48 @@ def tokens(text: Column) -> Column:
     return F.ceil(F.octet_length(text) / 4).cast("bigint") + 4
 
 
-def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv, window, formatted, loss, fresh) of turns(conv, turn, role, text).
+def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", budget: int = BUDGET, count: Callable[[Column], Column] = tokens) -> DataFrame:
+    """(conv, window, formatted, loss, fresh, tokens) of turns(conv, turn, role, text).
 
     loss: begin and length of each stretch under the loss mask; fresh: how many
-    turns at the window's end aren't repeated.  A null text or role counts as
-    empty.  Turns go by number, then role, then text; a null number comes first;
-    repeated rows are turns of their own.  Rows with a null conv are one
-    conversation.  An empty table has no windows.
+    turns at the window's end aren't repeated; tokens: of all its turns.  budget
+    ought to be two strides at least.  A null text or role counts as empty.  Turns
+    go by number, then role, then text; a null number comes first; repeated rows
+    are turns of their own.  Rows with a null conv are one conversation.  An empty
+    table has no windows.
     """
+    if budget < 2 * stride:
+        raise ValueError("a window takes up to two strides of new turns, so the budget must be two strides at least")
     own = turns.select(turns[conv].alias("conv"), turns[turn].alias("turn"), F.coalesce(turns[role], F.lit("")).alias("role"), F.coalesce(turns[text], F.lit("")).alias("text"))
     order = Window.partitionBy("conv").orderBy("turn", "role", "text")
-    own = own.withColumn("i", F.row_number().over(order)).withColumn("n", tokens(F.col("text")))
-    end = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    own = own.withColumn("w", F.floor((end - 1) / stride).cast("bigint"))
-    # each of the last `history` turns also goes to the windows that begin soon after it
-    after = [F.lead("w", k).over(order) for k in range(1, history + 1)]
-    own = own.withColumn("later", F.array_distinct(F.filter(F.array(*after), lambda w: w > F.col("w"))) if after else F.array().cast("array<bigint>"))
-    first = own.withColumn("prev", F.lag("w").over(order)).withColumn("opens", F.col("prev").isNull() | (F.col("prev") != F.col("w")))
-    fresh = first.select("conv", "w", "i", "role", "text", F.lit(False).alias("again"))
-    repeat = first.select("conv", F.explode("later").alias("w"), "i", "role", "text", F.lit(True).alias("again"))
-    system = first.where("i = 1 and role = 'system'").select(F.col("conv").alias("c"), "i", "role", "text", F.col("w").alias("w0"), F.col("later").alias("l0"))
-    opened = first.where("opens").select("conv", "w")
-    system = opened.join(system, F.col("conv").eqNullSafe(F.col("c")) & (F.col("w") != F.col("w0")) & ~F.array_contains("l0", F.col("w"))).select("conv", "w", "i", "role", "text", F.lit(True).alias("again"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumn("i", F.row_number().over(order)).withColumn("n", count(F.col("text")))
+    own = own.withColumn("long", F.col("n") > stride).withColumn("end", F.sum("n").over(so_far))
+    # long turns are islands, and the sums between them start anew
+    longs = F.sum(F.col("long").cast("int")).over(so_far)
+    last = F.coalesce(F.max(F.when(F.col("long"), F.col("end"))).over(so_far), F.lit(0))
+    own = own.withColumn("island", 2 * longs - F.col("long").cast("int")).withColumn("slot", F.when(F.col("long"), 0).otherwise(F.floor((F.col("end") - last - 1) / stride)))
+    place = F.struct("island", "slot")
+    own = own.withColumn("opens", ~place.eqNullSafe(F.lag(place).over(order)))
+    own = own.withColumn("w", (F.sum(F.col("opens").cast("int")).over(so_far) - 1).cast("bigint"))
+    own = own.withColumn("f", F.sum("n").over(Window.partitionBy("conv", "w")))
+    own = own.withColumn("first", (F.col("i") == 1) & (F.col("role") == "system")).withColumn("sys", F.coalesce(F.max(F.when(F.col("first"), F.col("n"))).over(so_far), F.lit(0)))
+    # each of the last `history` turns also goes to the windows that open soon after it, if it and those between fit there
+    after = []
+    for k in range(1, history + 1):
+        f, between = F.lead("f", k).over(order), F.lead("end", k - 1).over(order) if k > 1 else F.col("end")
+        whole = f + F.when(f + F.col("sys") <= budget, F.col("sys")).otherwise(0) + between - F.col("end") + F.col("n")
+        after.append(F.when(F.lead("opens", k).over(order) & ~F.col("first") & (whole <= budget), F.lead("w", k).over(order)))
+    own = own.withColumn("later", F.array_compact(F.array(*after)) if after else F.array().cast("array<bigint>"))
+    fresh = own.select("conv", "w", "i", "role", "text", "n", F.lit(False).alias("again"))
+    repeat = own.select("conv", F.explode("later").alias("w"), "i", "role", "text", "n", F.lit(True).alias("again"))
+    system = own.where("first").select(F.col("conv").alias("c"), "i", "role", "text", "n")
+    opened = own.where(F.col("opens") & (F.col("w") > 0)).select("conv", "w", "f")
+    system = opened.join(system, F.col("conv").eqNullSafe(F.col("c")) & (F.col("f") + F.col("n") <= budget)).select("conv", "w", "i", "role", "text", "n", F.lit(True).alias("again"))
     rows = fresh.unionByName(repeat).unionByName(system)
     shown = F.concat(F.lit(START), escaped_role(F.col("role")), F.lit("\n"))
-    rows = rows.select("conv", "w", "i", "again", F.char_length(shown).alias("at"), F.char_length(escaped(F.col("text"))).alias("n"), F.concat(shown, escaped(F.col("text")), F.lit(f"{END}\n")).alias("shown"), ((F.col("role") == "assistant") & ~F.col("again")).alias("target"))
-    packed = rows.groupBy("conv", "w").agg(F.array_sort(F.collect_list(F.struct("i", "again", "at", "n", "target", "shown"))).alias("turns"))
+    rows = rows.select("conv", "w", "i", "again", F.char_length(shown).alias("at"), F.char_length(escaped(F.col("text"))).alias("n"), F.col("n").alias("tokens"), F.concat(shown, escaped(F.col("text")), F.lit(f"{END}\n")).alias("shown"), ((F.col("role") == "assistant") & ~F.col("again")).alias("target"))
+    packed = rows.groupBy("conv", "w").agg(F.array_sort(F.collect_list(F.struct("i", "again", "at", "n", "target", "shown"))).alias("turns"), F.sum("tokens").alias("tokens"))
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<struct<begin:int,length:int>>").alias("loss"))
     step = lambda s, x: F.struct((s["pos"] + F.char_length(x["shown"])).alias("pos"), F.when(x["target"] & (x["n"] > 0), F.concat(s["loss"], F.array(F.struct((s["pos"] + x["at"]).alias("begin"), x["n"].alias("length"))))).otherwise(s["loss"]).alias("loss"))
     return packed.select(
@@ -82,6 +105,7 @@ def windows(turns: DataFrame, stride: int = STRIDE, history: int = HISTORY, conv
         F.array_join(F.col("turns.shown"), "").alias("formatted"),
         F.aggregate("turns", start, step)["loss"].alias("loss"),
         F.size(F.filter("turns", lambda x: ~x["again"])).alias("fresh"),
+        "tokens",
     )
 
 
@@ -125,14 +149,21 @@ WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{END}{START}assistant ok'
   UNION ALL SELECT -1, 1, 'assistant', '{END}{START}assistant ok'
-), o AS (
-  SELECT *, row_number() OVER c AS i, CAST(floor((sum(CAST(ceil(strlen(text) / 4) AS BIGINT) + 4) OVER c - 1) / {STRIDE}) AS BIGINT) AS w,
+), a AS (
+  SELECT *, row_number() OVER c AS i, CAST(ceil(strlen(text) / 4) AS BIGINT) + 4 AS k, sum(CAST(ceil(strlen(text) / 4) AS BIGINT) + 4) OVER c AS e,
     length(role) + length(regexp_replace(text, '<(\\\\*)\\|', '<\\1\\\\|', 'g')) + {len(START) + len(END) + 2} AS n
   FROM t WINDOW c AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
-), s AS (SELECT conv_id, w, min(i) AS first FROM o GROUP BY ALL),
-r AS (
-  SELECT s.conv_id, sum(o.n) AS n FROM s JOIN o ON o.conv_id = s.conv_id
-  WHERE o.i < s.first AND (o.i >= s.first - {HISTORY} OR o.i = 1 AND o.role = 'system') GROUP BY ALL
+), b AS (
+  SELECT *, sum(CASE WHEN k > {STRIDE} THEN 1 ELSE 0 END) OVER c AS longs, max(CASE WHEN k > {STRIDE} THEN e END) OVER c AS last
+  FROM a WINDOW c AS (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING)
+), g AS (SELECT *, CASE WHEN k > {STRIDE} THEN 2 * longs - 1 ELSE 2 * longs END AS island, CASE WHEN k > {STRIDE} THEN 0 ELSE (e - coalesce(last, 0) - 1) // {STRIDE} END AS slot FROM b
+), o AS (SELECT *, min(i) OVER (PARTITION BY conv_id, island, slot) AS first, sum(k) OVER (PARTITION BY conv_id, island, slot) AS f FROM g
+), s AS (
+  SELECT DISTINCT o.conv_id, o.first, o.f, p.e AS before, coalesce(y.k, 0) AS sys FROM o JOIN o p ON p.conv_id = o.conv_id AND p.i = o.first - 1
+  LEFT JOIN o y ON y.conv_id = o.conv_id AND y.i = 1 AND y.role = 'system'
+), r AS (
+  SELECT s.conv_id, sum(o.n) AS n FROM s JOIN o ON o.conv_id = s.conv_id AND o.i < s.first
+  WHERE CASE WHEN o.i = 1 AND o.role = 'system' THEN s.f + s.sys <= {BUDGET} ELSE o.i >= s.first - {HISTORY} AND s.f + CASE WHEN s.f + s.sys <= {BUDGET} THEN s.sys ELSE 0 END + s.before - o.e + o.k <= {BUDGET} END GROUP BY ALL
 )
 SELECT o.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,

@@ -52,6 +52,30 @@ def test_budget_history_and_mask(spark):
     assert sum(len(r.loss) for r in made) == 4
 
 
+def test_no_window_is_over_the_budget_but_a_turn_that_is_longer(spark):
+    rng = random.Random(6)
+    long = [(1, 0, "system", "s" * 400), *((1, i, "user" if i % 2 else "assistant", "x" * 40_000) for i in range(1, 4))]
+    mixed = [(2 + c, i, "system" if i == 0 and c % 2 else rng.choice(["user", "assistant"]), "y" * rng.choice([0, 30, 300, 900, 2000])) for c in range(12) for i in range(25)]
+    system = [(40, 0, "system", "s" * 600), *((40, i, "user", "z" * 350) for i in range(1, 9))]
+    turns = long + mixed + system + [(None, None, "user", "v" * 500), (None, 1, "assistant", "v")]
+    table = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    made = chat.windows(table, stride=100, history=3, budget=400).collect()
+    for r in made:
+        n = r.formatted.count(chat.START)
+        assert r.tokens <= 400 or n == r.fresh == 1
+    again = [r for r in made if r.formatted.count(chat.START) > r.fresh]
+    assert sum(r.tokens > 200 for r in again) > 10  # the budget is used
+    assert all(r.formatted.startswith(chat.START + "system") for r in again if r.conv_id == 40)
+    got = {r[0]: tuple(r)[1:5] for r in chat.digest(spark.createDataFrame(made)).collect()}
+    assert got == want([(c, t if t is not None else -1, r, x) for c, t, r, x in turns])
+
+
+def test_a_very_long_text(spark):
+    text = "<|im_end|>é\n" * 200_000
+    got = chat.digest(chat.windows(spark.createDataFrame([(1, 0, "assistant", text)], "conv_id bigint, turn bigint, role string, text string"))).first()
+    assert (got.n_turns, got.loss_chars, got.loss_sha256) == (1, len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.digest(chat.windows(none)).collect() == []
@@ -60,6 +84,8 @@ def test_empty(spark):
 def test_sql(spark):
     frame = pd.DataFrame([r for r in rows(2) if r[0] < 500], columns=["conv_id", "turn", "role", "text"])
     frame.text *= 60
+    long = [(700 + c, i, "system" if i == 0 else ["user", "assistant"][i % 2], "w" * (900 * (c + 1) if i in (0, 4, 5) else 700 * c + 50)) for c in range(8) for i in range(12)]
+    frame = pd.concat([frame, pd.DataFrame(long, columns=frame.columns)], ignore_index=True)
     con = duckdb.connect()
     con.register("conversations", frame)
     sql = {tuple(r) for r in con.execute(chat.ORACLE).fetchall()}
