@@ -317,7 +317,17 @@ def rooted(table: DataFrame, roots: DataFrame, node: str, name: str) -> DataFram
 
 
 def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """docs without those that belong to a group of near duplicates and aren't its least id; all columns stay."""
-    store = Store(docs.sparkSession, "near")
-    gone = store.keep(groups(docs, id, text, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id].cast("bigint") == F.col("__gone"), "left_anti")
+    """docs without those that belong to a group of near duplicates and aren't its least id; all columns stay.
+
+    Every row is a document of its own: of rows that share an id the one that
+    stands first in the table stays, and rows without an id come after all others.
+    """
+    store, columns = Store(docs.sparkSession, "near"), docs.columns
+    rows = store.keep(docs.select(F.struct(*(docs[x] for x in columns)).alias("whole"), docs[id].cast("bigint").alias("doc"), docs[text].alias("text"), F.monotonically_increasing_id().alias("row")))
+    found = store.keep(groups(rows.select("row", "text"), "row", "text", percent).select(F.col("doc_id").alias("r"), F.col("component_id").alias("c")))
+    several = found.where("r <> c").select(F.col("c").alias("several")).distinct()
+    member = store.keep(found.join(several, F.col("c") == F.col("several"), "left_semi").join(rows.select("row", "doc"), F.col("r") == F.col("row")).select("row", "c", "doc"))
+    first = member.groupBy(F.col("c").alias("of")).agg(F.min(F.struct(F.col("doc").isNull(), "doc", "row")).alias("first"))
+    gone = store.keep(member.join(first, F.col("c") == F.col("of")).where(F.col("row") != F.col("first.row")).select(F.col("row").alias("gone")))
+    store.drop(found, member)
+    return rows.join(gone, F.col("row") == F.col("gone"), "left_anti").select("whole.*")

@@ -55,3 +55,42 @@ def test_near_duplicates_from_four_fifths(spark, folder):
             docs += [(4 * i + k, " ".join(words)), (4 * i + k + 1, " ".join([*words[:20], "other", *words[21:]]))]
     left = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(docs, "doc_id bigint, text string"), folder)
     assert sorted(r.doc_id for r in left.collect()) == [4 * i for i in range(20)] + [100 + 4 * i + j for i in range(20) for j in (0, 1)]
+
+
+ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, doc string, row int, whole string, node bigint, key string"
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(k, t, None, None, None, "d", 1, None, 2, "k") for k, t in rows], ODD)
+
+
+def test_stages_on_odd_tables(spark, folder):
+    """Nulls, repeated rows, shared ids, a very long text, and columns that clash with names of the plans."""
+    words = " ".join(f"w{i}" for i in range(50))
+    long = " ".join(f"l{i}" for i in range(60_000))
+    rows = [(None, None), (None, words), (1, words), (1, words), (2, words + " end"), (2, "quite another text"), (3, ""), (4, None), (5, long), (6, " \n")]
+    docs = odd(spark, rows)
+    want = {"toxicity": 10, "near duplicates": 7, "repeated passages": 10, "benchmark leaks": 10, "encoding": 10}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        if name != "encoding":
+            assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == want[name], name
+        if name == "near duplicates":
+            assert sorted((r.doc_id or 0, r.text) for r in got if (r.text or "").strip()) == [(1, words), (2, "quite another text"), (5, long)]
+        if name == "repeated passages":
+            whole = sorted(r.text for r in got)
+            # of the five texts that hold the words only the first, that without an id, keeps them
+            assert sum(words in t for t in whole) == 1 and long in whole
+        if name != "encoding":
+            assert {(r.doc, r.row, r.whole, r.node, r.key) for r in got} == {("d", 1, None, 2, "k")}
+
+
+def test_stages_on_empty_tables(spark, folder, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    some = odd(spark, [(1, "some text"), (2, None)])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, some, str(tmp_path)).count() == 2
