@@ -106,7 +106,8 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: i
 
     A null text has no words.  Items of no words are never found; items that
     share an id, or a null id, count as one each time they appear in `items`.
-    Rows of docs that share an id are told apart by their text.
+    Rows of docs that share an id, or have none, are told apart by their text.  An
+    empty table has no rows; texts may be of any length.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -163,7 +164,8 @@ def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that share a window with an item; all columns stay."""
-    store = Store(docs.sparkSession, "decontaminate")
-    bad = store.keep(occurrences(docs, items, id=id, text=text).where(F.size("spans") > 0).select(F.col(id).alias("__bad")).distinct())
-    return docs.join(bad, docs[id].cast("bigint").eqNullSafe(F.col("__bad")), "left_anti")
+    """docs without those that share a window with an item; all columns stay.  Every row is a document of its own, whatever its id."""
+    store, columns = Store(docs.sparkSession, "decontaminate"), docs.columns
+    rows = store.keep(docs.select(F.struct(*(docs[x] for x in columns)).alias("whole"), docs[text].alias("text"), F.monotonically_increasing_id().alias("row")))
+    bad = store.keep(occurrences(rows.select("row", "text"), items, id="row").where(F.size("spans") > 0).select(F.col("row").alias("bad")).distinct())
+    return rows.join(bad, F.col("row") == F.col("bad"), "left_anti").select("whole.*")

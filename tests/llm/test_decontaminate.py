@@ -63,3 +63,14 @@ def test_empty_tables_and_clean(spark):
     assert decontaminate.report(spark.createDataFrame([], d.schema), i).collect() == []
     left = {r[0] for r in decontaminate.clean(d, i).collect()}
     assert left == {r[0] for r in brute(docs, items) if not r[-1]}
+
+
+@pytest.mark.parametrize("block", [1 << 20, 300])
+def test_null_and_shared_ids_and_a_very_long_text(spark, block):
+    _, items = tables(4)
+    leak = max((t for _, t in items if t), key=len)
+    docs = [(None, "nothing of that sort"), (None, leak), (1, leak), (1, "entirely clean words"), (2, "filler " * 300_000 + leak + " filler" * 300_000), (3, "漢" * 100_000)]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert sorted(map(tuple, decontaminate.report(d, i, block_bytes=block).collect()), key=str) == brute(docs, items)
+    left = [(r.doc_id, r.text) for r in decontaminate.clean(d, i).collect()]
+    assert sorted(left, key=str) == sorted(((k, t) for (k, t), r in zip(docs, [brute([x], items)[0] for x in docs], strict=True) if not r[-1]), key=str)
