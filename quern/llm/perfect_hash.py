@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 from quern.llm.vectors import U, mix
@@ -57,6 +59,6 @@ class PerfectHash:
             todo, base = todo[~hit], base + size
         return out
 
-    @property
+    @cached_property
     def _before(self) -> np.ndarray:
         return np.cumsum(self.flags, dtype=np.int64) - self.flags

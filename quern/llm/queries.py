@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.llm import chat, decontaminate, imatch, minhash, oracle, sentencepiece_bpe, substring_dedup, suffix_dedup, token_counts, token_files, toxicity
+from quern.sources.tables import spread
 
 #: Files of public tokenizers; the end-of-document id of the flat files.
 PIECES, WORDS, END = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json"), 49407
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    read = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(read) if name in ("documents", "conversations") else read
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -15,6 +15,8 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,9 @@ from quern.llm.vectors import U, blocks
 from quern.llm.word_bpe import word_encoder
 
 SHARD_IDS, END = 1 << 20, 1
-SHARD = "part int, shard int, n_ids bigint, n_docs bigint, payload binary, docs binary, lengths binary, unkeyed int, sizes binary, bits binary, ranks binary, prints binary, starts binary, counts binary"
+#: Up to so many keys are looked for one by one in the shards' ranges.
+SINGLY = 64
+SHARD = "part int, shard int, low bigint, high bigint, n_ids bigint, n_docs bigint, payload binary, docs binary, lengths binary, unkeyed int, sizes binary, bits binary, ranks binary, prints binary, starts binary, counts binary"
 
 
 @dataclass
@@ -59,6 +63,19 @@ class Shard:
         return np.where(there, self.starts[slot].astype(np.int64), -1), np.where(there, self.counts[slot].astype(np.int64), 0)
 
 
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """First id and number of ids of each text: of a key of its own by the index; lengths tell those apart that share a key or have none."""
+        at, count = self.find(self.docs)
+        own = self.lengths[self.unkeyed :]
+        first = np.flatnonzero(np.concatenate([[True], self.docs[1:] != self.docs[:-1]])[: len(self.docs)])
+        texts = np.diff(np.append(first, len(self.docs)))
+        before = np.cumsum(own) - own
+        within = before - np.repeat(before[first], texts)
+        several = np.repeat(texts > 1, texts)
+        bare = self.lengths[: self.unkeyed]
+        return np.concatenate([np.cumsum(bare) - bare, at + within]), np.concatenate([bare, np.where(several, own, count)])
+
+
 def _shard(part: int, number: int, docs: list[int | None], ids: list[bytes], width: int) -> dict:
     count = np.array([len(x) // width for x in ids], np.int64)
     start = np.cumsum(count) - count
@@ -71,10 +88,10 @@ def _shard(part: int, number: int, docs: list[int | None], ids: list[bytes], wid
     slot = index.find(distinct.view(U))
     prints, starts, counts = (np.zeros(len(distinct), "<u4") for _ in range(3))
     prints[slot], starts[slot], counts[slot] = fingerprints(distinct.view(U)), start[unkeyed:][first], total
-    return {"part": part, "shard": number, "n_ids": int(count.sum()), "n_docs": len(docs), "payload": b"".join(ids), "docs": keys.astype("<i8").tobytes(), "lengths": count.astype("<u4").tobytes(), "unkeyed": unkeyed, "sizes": index.sizes.tobytes(), "bits": index.bits.tobytes(), "ranks": index.ranks.tobytes(), "prints": prints.tobytes(), "starts": starts.tobytes(), "counts": counts.tobytes()}
+    return {"part": part, "shard": number, "low": docs[unkeyed] if len(keys) else None, "high": docs[-1], "n_ids": int(count.sum()), "n_docs": len(docs), "payload": b"".join(ids), "docs": keys.astype("<i8").tobytes(), "lengths": count.astype("<u4").tobytes(), "unkeyed": unkeyed, "sizes": index.sizes.tobytes(), "bits": index.bits.tobytes(), "ranks": index.ranks.tobytes(), "prints": prints.tobytes(), "starts": starts.tobytes(), "counts": counts.tobytes()}
 
 
-_TYPES = {"part": pa.int32(), "shard": pa.int32(), "n_ids": pa.int64(), "n_docs": pa.int64(), "unkeyed": pa.int32()}
+_TYPES = {"part": pa.int32(), "shard": pa.int32(), "low": pa.int64(), "high": pa.int64(), "n_ids": pa.int64(), "n_docs": pa.int64(), "unkeyed": pa.int32()}
 _SCHEMA = pa.schema([(n, _TYPES.get(n, pa.binary())) for n in (x.split()[0] for x in SHARD.split(", "))])
 
 
@@ -107,17 +124,14 @@ def listing(table: DataFrame) -> DataFrame:
         for rows in batches:
             for row in rows.to_pylist():
                 shard = Shard.read(row)
-                n, ends = row["n_docs"], np.cumsum(shard.lengths) - 1
-                start = ends - shard.lengths + 1
-                at, count = shard.find(shard.docs)
-                same = np.concatenate([[True], shard.docs[1:] != shard.docs[:-1]])[: len(shard.docs)]
-                if (at[same] != start[shard.unkeyed :][same]).any() or (count <= 0).any() or (shard.payload[ends] != END).any():
+                start, count = shard.places()
+                if (count <= 0).any() or (shard.payload[start + count - 1] != END).any():
                     raise ValueError("the index and the payload disagree")
-                raw = memoryview(shard.payload.tobytes())
-                crc = [zlib.crc32(raw4(raw[2 * a : 2 * b + 2])) for a, b in zip(start.tolist(), ends.tolist(), strict=True)]
+                wide = memoryview(shard.payload.astype("<u4").tobytes())
+                crc = [zlib.crc32(wide[4 * a : 4 * (a + n)]) for a, n in zip(start.tolist(), count.tolist(), strict=True)]
                 keys = pa.concat_arrays([pa.nulls(shard.unkeyed, pa.int64()), pa.array(shard.docs)])
-                same_part = [pa.array(np.full(n, row[x], np.int32)) for x in ("part", "shard")]
-                yield pa.RecordBatch.from_arrays([*same_part, keys, pa.array(start.astype(np.int64)), pa.array(ends - start + 1), pa.array(crc, pa.int64())], ["part", "shard", "doc_id", "own_start", "n_tokens", "ids_crc32"])
+                same_part = [pa.array(np.full(row["n_docs"], row[x], np.int32)) for x in ("part", "shard")]
+                yield pa.RecordBatch.from_arrays([*same_part, keys, pa.array(start), pa.array(count), pa.array(crc, pa.int64())], ["part", "shard", "doc_id", "own_start", "n_tokens", "ids_crc32"])
 
     found = table.mapInArrow(look, "part int, shard int, doc_id bigint, own_start bigint, n_tokens bigint, ids_crc32 bigint")
     sizes = table.select("part", "shard", "n_ids")
@@ -128,13 +142,13 @@ def listing(table: DataFrame) -> DataFrame:
     return found.join(base, ["part", "shard"]).select("doc_id", (F.col("base") + F.col("own_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def raw4(raw: memoryview) -> bytes:
-    """The same ids as unsigned 32-bit integers."""
-    return np.frombuffer(raw, "<u2").astype("<u4").tobytes()
-
-
 def lookup(table: DataFrame, keys: list[int], id: str = "doc_id") -> DataFrame:
-    """(id, ids array<int>) for those of the keys (a short list, sent to every task) that the shards hold."""
+    """(id, ids array<int>) for those of the keys (a short list, sent to every task) that the shards hold.
+
+    A shard says which keys it lies between, and shards are written in the order of
+    keys, so the store gives up those alone that a key can be in; within, a key
+    costs a look at the hash's levels.
+    """
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = np.array(sorted(set(keys)), np.int64)
@@ -145,7 +159,12 @@ def lookup(table: DataFrame, keys: list[int], id: str = "doc_id") -> DataFrame:
                 hit = np.flatnonzero(at >= 0)
                 yield pa.RecordBatch.from_arrays([pa.array(ask[hit]), pa.array([shard.payload[at[i] : at[i] + n[i]].astype(np.int32) for i in hit], pa.list_(pa.int32()))], [id, "ids"])
 
-    return table.mapInArrow(find, f"{id} bigint, ids array<int>")
+    if not keys:
+        return table.limit(0).mapInArrow(find, f"{id} bigint, ids array<int>")
+    near = (F.col("low") <= max(keys)) & (F.col("high") >= min(keys))
+    if len(keys) <= SINGLY:
+        near = reduce(or_, ((F.col("low") <= k) & (F.col("high") >= k) for k in sorted(set(keys))))
+    return table.where(near).mapInArrow(find, f"{id} bigint, ids array<int>")
 
 
 def write(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:

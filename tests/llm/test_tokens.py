@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from quern.llm import sentencepiece_bpe, token_counts, token_files
+from quern.llm import sentencepiece_bpe, token_counts, token_files, word_bpe
 from quern.llm.perfect_hash import PerfectHash
 
 PIECES, WORDS = P.path("piece_bpe_32k.model"), P.path("word_bpe_49k.json")
@@ -71,6 +71,41 @@ def test_shards(spark, monkeypatch):
     assert some == {k: [*library.encode(t, add_special_tokens=False).ids, 1] for k, t in (docs[3], docs[20])}
 
 
+def test_words_equal_the_library_while_it_forgets(monkeypatch):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgéßÉXYZ漢0'") for _ in range(rng.randint(1, 8))) + rng.choice(["", "", ".", "!?", ",", "'s", "-"])
+    some = [" ".join(word() for _ in range(rng.randint(0, 60))) for _ in range(400)] + texts(10)
+    library = Tokenizer.from_file(WORDS)
+    for held in (2000, 96 << 20):
+        monkeypatch.setattr(word_bpe, "REMEMBERED", held)
+        ours = word_bpe.WordEncoder(WORDS, False, "<u2")
+        got = [x for at in range(0, len(some), 20) for x in ours.encode([t.encode() for t in some[at : at + 20]])]
+        for text, ids in zip(some, got, strict=True):
+            assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_very_long_texts(spark):
+    long = "Wörd " * 150_000 + "a" * 40_000
+    table = spark.createDataFrame([(1, long), (2, "x")], "doc_id bigint, text string")
+    ids = [*Tokenizer.from_file(WORDS).encode(long, add_special_tokens=False).ids, 1]
+    got = sorted(map(tuple, token_files.listing(token_files.write(spark, table, WORDS)).collect()))
+    assert got[0] == (1, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) and got[1][1] == len(ids)
+    assert sorted(map(tuple, token_counts.counts(table, WORDS, 49407).collect())) == [(1, len(ids) - 1), (2, 1)]
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert {r.doc_id: r.n_tokens for r in sentencepiece_bpe.digest(table, PIECES).collect()}[1] == len(pieces.encode(long, add_bos=True, add_eos=True))
+
+
+def test_lookup_reads_the_shards_that_can_have_the_key(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_IDS", 50)
+    docs = [(i, f"text number {i} " * 5) for i in range(200)]
+    written = token_files.write(spark, spark.createDataFrame(docs, "doc_id bigint, text string"), WORDS)
+    assert written.count() > 20
+    assert {r.doc_id for r in token_files.lookup(written, [17, 120, 5000]).collect()} == {17, 120} and token_files.lookup(written, []).collect() == []
+    assert len(token_files.lookup(written, list(range(-10, 190))).collect()) == 190
+    plan = token_files.lookup(written, [17])._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(low,17)" in plan and "GreaterThanOrEqual(high,17)" in plan
+
+
 @pytest.mark.parametrize("block_ids", [7, 100_000])
 def test_counts(spark, block_ids):
     docs = [*enumerate(texts(6)), (500, None), (501, "x"), (501, "x")]
