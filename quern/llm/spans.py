@@ -1,10 +1,11 @@
 """Windows of L symbols that occur more than once, over a whole corpus, without comparing pairs.
 
-The search narrows in rounds.  Round 0 names the runs of windows that share a
-winnowed anchor; round 1 reopens the undecided ones in bins of a few windows that
-share all but a few of their symbols; round 2 names single windows.  In each round
-a name that occurs once ends the search for its windows, runs of one class are
-decided together, and only one run of each class goes on.  Every step is an
+The search narrows in rounds.  The first names the runs of windows that share a
+winnowed anchor: a name that occurs once ends the search for its windows, runs of
+one class are decided together, and only one run of each class goes on, where its
+anchor has several classes.  What is left is finished as the operator says, for
+one in bins of a few windows that share all but a few of their symbols and then in
+single windows.  Every step is an
 aggregation that combines before it shuffles or an equi-join whose other side has
 one row per key, so a name held by a third of all rows is split like any other.
 """
@@ -102,9 +103,34 @@ def undecided(store: Store, known: DataFrame) -> DataFrame:
     return known.join(several, F.col("a") == F.col("a2")).select("f.row", "f.begin", "n", "lead")
 
 
-def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: int, k: int, width: int, keep_first: bool) -> DataFrame:
+Finish = Callable[[Store, DataFrame, DataFrame], DataFrame]
+
+
+def in_bins(symbols: Symbols, length: int, widths: list[int], keep_first: bool, then: Finish | None = None) -> Finish:
+    """Decides undecided runs in bins of ever fewer windows; what these leave goes on to `then`, if there is one."""
+
+    def finish(store: Store, docs: DataFrame, todo: DataFrame) -> DataFrame:
+        out = None
+        for i, width in enumerate(widths):
+            found = store.keep(reopened(docs, todo, symbols, length, width))
+            known = store.keep(classes(found))
+            done = store.keep(decided(found, known, keep_first))
+            out = done if out is None else out.unionByName(done)
+            if then or i + 1 < len(widths):
+                todo = store.keep(undecided(store, known))
+            store.drop(found, known)
+        return out.unionByName(then(store, docs, todo)) if then else out
+
+    return finish
+
+
+def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: int, k: int, finish: Finish, keep_first: bool) -> DataFrame:
     """(row, spans: begin, n): runs of windows of docs(doc, row, text) whose symbols also begin elsewhere; with keep_first, only where they do so earlier.
 
+    finish(store, docs, todo) gives the runs or windows (row, begin, n) of this kind
+    among the runs todo(row, begin, n, lead): one of each class whose anchor has
+    several, the first.
+
     Order is by doc (null first), then row, then place.  Rows that share a doc are
     texts of their own.
     """
@@ -113,20 +139,13 @@ def repeated_windows(store: Store, docs: DataFrame, symbols: Symbols, length: in
     often = store.keep(every.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a2"))
     found = store.keep(every.join(often, F.col("a") == F.col("a2")).select(*RUN_COLUMNS))
     known = store.keep(classes(found))
-    done = [store.keep(decided(found, known, keep_first))]
+    done = store.keep(decided(found, known, keep_first))
     todo = store.keep(undecided(store, known))
     store.drop(found, known, often)
     part = store.keep(docs.join(todo.select("row").distinct(), "row", "left_semi").select("doc", "row", "text"))
-    for bins in (width, 1):
-        found = store.keep(reopened(part, todo, symbols, length, bins))
-        known = store.keep(classes(found))
-        done.append(store.keep(decided(found, known, keep_first)))
-        store.drop(todo)
-        todo = store.keep(undecided(store, known)) if bins > 1 else todo
-        store.drop(found, known)
-    store.drop(part)
-    every_done = done[0].unionByName(done[1]).unionByName(done[2])
-    return every_done.groupBy("row").agg(F.collect_list(F.struct("begin", "n")).alias("spans"))
+    late = finish(store, part, todo)
+    store.drop(part, todo)
+    return done.unionByName(late).groupBy("row").agg(F.collect_list(F.struct("begin", "n")).alias("spans"))
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import covered, numbered, repeated_windows, with_spans, word_symbols
+from quern.llm.spans import covered, in_bins, numbered, repeated_windows, with_spans, word_symbols
 from quern.llm.store import Store
 from quern.llm.vectors import BLANK_WORDS, blocks, words
 
@@ -35,7 +35,7 @@ def factors(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
     """docs as (doc, row, text), and for each row the runs of windows of `length` words that occur elsewhere."""
     store = Store(docs.sparkSession, "substring")
     docs = numbered(store, docs.select(docs[id].cast("bigint").alias("doc"), docs[text].alias("text")))
-    return docs, repeated_windows(store, docs, word_symbols, length, ANCHOR, BIN, keep_first=False)
+    return docs, repeated_windows(store, docs, word_symbols, length, ANCHOR, in_bins(word_symbols, length, [BIN, 1], keep_first=False), keep_first=False)
 
 
 def remove_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -1,42 +1,101 @@
-"""Substring removal over bytes: every 100-byte string that also starts earlier goes.
-
-Positions are named by the bytes that begin there, and Spark groups them by name
-at growing lengths until a name is unique or the length has reached 100: first 25
-bytes, at the positions that winnowing keeps (each 100-byte window keeps one, and
-equal windows the same one); then the run of windows around such a position; of
-runs that share the 25 bytes and differ, the 93 bytes that 8 neighbouring windows
-share; and at last the 100 bytes of each window.  After each round the positions
-whose name is unique, and those whose run is decided, are out.
-
-This is prefix doubling's idea, not its letter: there is no order of all
-positions, a name is a 64-bit hash of the span (from two prefix sums) in place of
-a dense rank of a pair of ranks, and the lengths aren't doubled, as ranking every
-byte of the corpus at 1, 2, 4 ... 64 bytes would shuffle the corpus a hundredfold.
+"""Substring removal over bytes: every 100-byte string that also starts earlier goes, by distributed prefix doubling.
+
+The rank of a position tells the bytes that begin there from all others of that
+length.  The first ranks are of 25 bytes; then Spark joins each position's rank to
+that of the position as many bytes on, orders the pairs into groups, and gives
+each group a new rank, which is that of twice the bytes: 25, 50, 100.  A position
+whose rank is unique, or whose partner's is, is out of play; those that share a
+rank of 100 bytes begin the same string, and all but the first of them go.
+
+Ranking every byte of a corpus would shuffle it many times over, so three sieves
+stand before, and most windows are decided there.  Winnowing keeps one 25-byte
+string of each window, equal windows the same one; a window whose string occurs
+once is unique.  A run of windows around such a string that is the same in several
+documents is one to be ranked, the rest are copies.  And so with bins of 8 windows
+of those runs, by the bytes that the 8 share.  Ranks are numbers without an order among them, as equality
+is all that is asked; the first ones are 64-bit hashes of the 25 bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.spans import covered, numbered, repeated_windows, with_spans
+from quern.llm.spans import Finish, covered, in_bins, numbered, repeated_windows, with_spans
 from quern.llm.store import Store
-from quern.llm.vectors import blocks, byte_symbols
+from quern.llm.vectors import blocks, byte_symbols, grams, mix, prefix
 
 LENGTH, RANK0, BIN = 100, 25, 8
 
 
+def first_ranks(docs: DataFrame, todo: DataFrame, length: int, k: int) -> DataFrame:
+    """(doc, row, pos, r): of each position in the windows of the runs todo whose rank is asked for, a hash of the k bytes that begin there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in blocks(batches):
+            flat, first = byte_symbols(texts)
+            names = mix(grams(prefix(flat), k))
+            todo = rows.column(rows.schema.get_field_index("todo"))
+            owner = np.repeat(np.arange(len(todo)), np.diff(todo.offsets.to_numpy()))
+            begin, n = (x.to_numpy().astype(np.int64) for x in todo.flatten().flatten())
+            each = np.repeat(np.arange(len(begin)), n)
+            window = (begin + first[owner])[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            # where doubling k meets length, the ranks at multiples of k are all that is ever joined
+            steps = np.arange(0, length - k + 1, k if length % k == 0 and (length // k).bit_count() == 1 else 1)
+            pos = np.unique((window[:, None] + steps).ravel())
+            of = np.searchsorted(first, pos, "right") - 1
+            own = pa.array(of)
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(own), rows.column(1).take(own), pa.array((pos - first[of]).astype(np.int32)), pa.array(names[pos].view(np.int64))], ["doc", "row", "pos", "r"])
+
+    grouped = todo.groupBy("row").agg(F.collect_list(F.struct("begin", "n")).alias("todo"))
+    return docs.join(grouped, "row").select("doc", "row", "text", "todo").mapInArrow(run, "doc bigint, row bigint, pos int, r bigint")
+
+
+def ranked(store: Store, pairs: DataFrame, by: list[str]) -> DataFrame:
+    """(doc, row, pos, r): a number for each group of equal `by`; positions alone in their group go."""
+    groups = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    numbers = store.keep(groups.select(*(F.col(c).alias(f"{c}_") for c in by), F.monotonically_increasing_id().alias("rank")))
+    same = reduce(and_, (F.col(c) == F.col(f"{c}_") for c in by))
+    out = store.keep(pairs.join(numbers, same).select("doc", "row", "pos", F.col("rank").alias("r")))
+    store.drop(numbers)
+    return out
+
+
+def doubling(length: int, k: int) -> Finish:
+    """Decides undecided runs by ranks of k, 2 k, 4 k ... and at last `length` bytes."""
+
+    def finish(store: Store, docs: DataFrame, todo: DataFrame) -> DataFrame:
+        start = store.keep(first_ranks(docs, todo, length, k))
+        now, reach = ranked(store, start, ["r"]), k
+        store.drop(start)
+        while reach < length:
+            # the last pair may overlap
+            step = min(reach, length - reach)
+            ahead = now.select(F.col("row").alias("row2"), (F.col("pos") - step).alias("pos2"), F.col("r").alias("r2"))
+            pairs = store.keep(now.join(ahead, (F.col("row") == F.col("row2")) & (F.col("pos") == F.col("pos2"))).select("doc", "row", "pos", F.col("r").alias("r1"), "r2"))
+            store.drop(now)
+            now, reach = ranked(store, pairs, ["r1", "r2"]), reach + step
+            store.drop(pairs)
+        place = F.struct("doc", "row", "pos")
+        first = now.groupBy(F.col("r").alias("of")).agg(F.min(place).alias("first"))
+        return store.keep(now.join(first, F.col("r") == F.col("of")).where(~place.eqNullSafe(F.col("first"))).select("row", F.col("pos").alias("begin"), F.lit(1).alias("n")))
+
+    return finish
+
+
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """docs as (doc, row, text, whole: all its columns but the text), and for each row the runs of `length`-byte windows that also begin earlier."""
     store = Store(docs.sparkSession, "suffix")
     whole = F.struct(*(docs[x] for x in docs.columns if x != text))
     docs = numbered(store, docs.select(docs[id].cast("bigint").alias("doc"), docs[text].alias("text"), whole.alias("whole")), F.col("whole"))
-    return docs, repeated_windows(store, docs, byte_symbols, length, RANK0, BIN, keep_first=True)
+    return docs, repeated_windows(store, docs, byte_symbols, length, RANK0, in_bins(byte_symbols, length, [BIN], True, doubling(length, RANK0)), keep_first=True)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[bytes], np.ndarray, np.ndarray]]:
