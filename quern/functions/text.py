@@ -154,3 +154,21 @@ def join_paragraphs(paragraphs: Column, drop_repeated: bool) -> Column:
         parsed = F.filter(parsed, lambda p: ~(F.coalesce(p["是否重复"], F.lit(False)) | F.coalesce(p["是否跨文件重复"], F.lit(False))))
     texts = F.filter(F.transform(parsed, lambda p: strip(p["内容"])), lambda x: x.isNotNull() & (x != ""))
     return F.when(F.ltrim(paragraphs).startswith("["), F.coalesce(F.array_join(texts, "\n"), paragraphs)).otherwise(paragraphs)
+
+
+#: Latin letters whose case folding is several letters.
+FOLDS = {"ß": "ss", "ŉ": "ʼn", "ǰ": "ǰ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
+
+
+def folded(text: Column) -> Column:
+    """Without regard to case: small letters, one small sigma and one long s, and several letters for the Latin ones that fold to several."""
+    out = F.translate(F.lower(F.upper(text)), "ςſ", "σs")
+    for one, several in FOLDS.items():
+        out = F.replace(out, F.lit(one), F.lit(several))
+    return out
+
+
+def cloze(masked: Column, word: Column) -> Column:
+    """(context, target, error): the text before the first mask, and the word; error says what a row lacks."""
+    lacks = F.when(masked.isNull(), "missing masked_text").when(word.isNull(), "missing correct_word").when(~F.contains(masked, F.lit("<mask>")), "no <mask>").when(word == "", "empty correct_word")
+    return F.struct(F.when(lacks.isNull(), F.substring_index(masked, "<mask>", 1)).alias("context"), F.when(lacks.isNull(), word).alias("target"), lacks.alias("error"))

@@ -19,7 +19,7 @@ class Cleaning:
     max_repeated_lines: float = 0.35
     max_control_ratio: float = 0.02
     min_quality: float = 0.45
-    #: Column name to denied values; compared stripped and in lower case.
+    #: Column name to denied values; compared stripped and without regard to case.
     excluded: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -31,7 +31,7 @@ def excluded_reason(rules: Cleaning) -> Column:
     """excluded_metadata_FIELD for the first field whose value is denied."""
     out = F.lit(None).cast("string")
     for name, values in reversed(rules.excluded.items()):
-        denied = F.lower(T.strip(F.col(name).cast("string"))).isin([v.strip().lower() for v in values])
+        denied = T.folded(T.strip(F.col(name).cast("string"))).isin([v.strip().casefold() for v in values])
         out = F.when(denied, f"excluded_metadata_{name}").otherwise(out)
     return out
 

@@ -89,6 +89,25 @@ def merge(*manifests: DataFrame) -> DataFrame:
     return out
 
 
+def append_run(base: DataFrame, run: DataFrame, old: str, new: str) -> DataFrame:
+    """base and the shards of another run, whose files went from the folder old to new; an error for one outside of old, or an id or uri that base has."""
+    inside = F.col("uri").startswith(old.rstrip("/") + "/")
+    if (stray := run.where(~inside).select("uri").first()) is not None:
+        raise ValueError(f"a shard outside of the run: {stray.uri}")
+    moved = run.withColumn("uri", F.concat(F.lit(new.rstrip("/")), F.substring("uri", len(old.rstrip("/")) + 1, 1 << 20)))
+    for name in ("id", "uri"):
+        if (twice := moved.select(name).join(base.select(name), name, "left_semi").first()) is not None:
+            raise ValueError(f"duplicate shard {name} after merge: {twice[0]}")
+    return base.unionByName(moved)
+
+
+def reshard(manifest: DataFrame, old: tuple[int, int], new: tuple[int, int], reset_positions: bool = False, seed: int = 42) -> DataFrame:
+    """cursors() for another (world, workers); places of the old one don't carry over, so `reset_positions` must say that they may go."""
+    if old != new and not reset_positions:
+        raise ValueError(f"positions of {old} ranks and workers mean nothing for {new}: reset_positions is needed")
+    return cursors(manifest, *new, seed=seed)
+
+
 def without(manifest: DataFrame, uris: DataFrame) -> DataFrame:
     return manifest.join(uris.select("uri"), "uri", "left_anti")
 

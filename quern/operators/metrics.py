@@ -27,6 +27,11 @@ def counters(docs: DataFrame, by: str, reason: str) -> DataFrame:
     return docs.rollup(by).agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col(reason).isNull()).alias("written"), F.count(reason).alias("rejected"), F.grouping(by).alias("g")).select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(by)).alias(by), "seen", "written", "rejected")
 
 
+def summary(rows: DataFrame, value: str, digits: int = 6) -> DataFrame:
+    """Rows, total, least, most and mean of a column."""
+    return rows.agg(F.count(value).alias("n"), F.sum(value).alias("total"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.avg(value), digits).alias("mean"))
+
+
 def reason_counts(docs: DataFrame, by: str, reason: str) -> DataFrame:
     """(by, name, n): rejected_REASON for each reason of a group and, as TOTAL, of all."""
     rolled = docs.where(F.col(reason).isNotNull()).groupBy(by, reason).agg(F.count(F.lit(1)).alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import hashing as H
 from quern.operators import layout as L
+from quern.operators import manifest as N
 from quern.plans.base import query, table
 
 _FILES = "f AS (SELECT 'part_' || source || '_' || lpad((doc_id % 7)::VARCHAR, 6, '0') || '.parquet' AS name, source, lang AS domain, n_chars FROM documents)"
@@ -67,3 +68,11 @@ def byte_round_trip(spark, at):
     text = F.coalesce("text", F.lit(""))
     ids = table(spark, at, "documents").select("doc_id", H.byte_ids(text, 258).alias("ids"))
     return ids.select("doc_id", F.sha2(H.byte_text(F.col("ids"), 258), 256).alias("text"))
+
+
+@query("appended_run", "SELECT 'a' || p_partkey AS id, 'base/' || p_partkey AS uri FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 'b' || p_partkey, 'base/shards/in/' || p_partkey || '.parquet' FROM part WHERE p_partkey % 3 = 1")
+def appended_run(spark, at):
+    p = table(spark, at, "part").select("p_partkey")
+    base = p.where("p_partkey % 3 = 0").select(F.concat(F.lit("a"), "p_partkey").alias("id"), F.concat(F.lit("base/"), "p_partkey").alias("uri"))
+    run = p.where("p_partkey % 3 = 1").select(F.concat(F.lit("b"), "p_partkey").alias("id"), F.concat(F.lit("run/shards/"), "p_partkey", F.lit(".parquet")).alias("uri"))
+    return N.append_run(base, run, "run/shards", "base/shards/in/")

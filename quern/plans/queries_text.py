@@ -172,3 +172,20 @@ def paragraph_join(spark, at):
     texts = F.transform(F.filter(parsed, lambda p: ~(p["是否重复"] | p["是否跨文件重复"])), lambda p: p["内容"])
     return docs.select("doc_id", F.sha2(F.array_join(texts, "\n"), 256).alias("joined"))
 
+
+
+@query("cloze_rows", """WITH r AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 5 = 1 THEN text ELSE replace(text, '. ', '<mask>') END AS m, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '' ELSE source END AS w FROM documents),
+e AS (SELECT *, CASE WHEN m IS NULL THEN 'missing masked_text' WHEN w IS NULL THEN 'missing correct_word' WHEN NOT contains(m, '<mask>') THEN 'no <mask>' WHEN w = '' THEN 'empty correct_word' END AS error FROM r)
+SELECT doc_id, CASE WHEN error IS NULL THEN sha256(split_part(m, '<mask>', 1)) END AS context, CASE WHEN error IS NULL THEN w END AS target, error FROM e""")
+def cloze_rows(spark, at):
+    k = F.col("doc_id")
+    masked = F.when(k % 5 == 0, None).when(k % 5 == 1, F.col("text")).otherwise(F.replace("text", F.lit(". "), F.lit("<mask>")))
+    word = F.when(k % 7 == 0, None).when(k % 7 == 1, "").otherwise(F.col("source"))
+    return table(spark, at, "documents").select("doc_id", T.cloze(masked, word).alias("c")).select("doc_id", F.sha2("c.context", 256).alias("context"), "c.target", "c.error")
+
+
+@query("url_decoded", r"SELECT page_id, url_decode(regexp_replace(url, '^https?://[^/?#]+', '') || '%C3%A9%20' || page_id) AS path FROM pages")
+def url_decoded(spark, at):
+    path = F.concat(F.regexp_replace("url", r"^https?://[^/?#]+", ""), F.lit("%C3%A9%20"), F.col("page_id").cast("string"))
+    # a plus sign stays one, as in a path
+    return table(spark, at, "pages").select("page_id", F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("path"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions import hashing as H
 from quern.functions import text as T
 from quern.operators import cleaning as C
+from quern.operators import metrics as M
 from quern.operators import tokens as K
 from quern.plans.base import SQL_CLEANED, query, sql_covered, table
 from quern.sources import sinks
@@ -196,3 +197,22 @@ def canonical_records(spark, at):
 def scored_subset(spark, at):
     d = C.scored(C.cleaned(table(spark, at, "documents"), C.Cleaning())).select("doc_id", F.round("quality_score", 6).alias("score"))
     return d.where("score >= 0.97")
+
+
+@query("score_summary", f"WITH {SQL_CLEANED} SELECT count(*) AS n, round(min(score), 6) AS least, round(max(score), 6) AS most, round(avg(round(score, 6)), 5) AS mean FROM m")
+def score_summary(spark, at):
+    d = C.scored(C.cleaned(table(spark, at, "documents"), C.Cleaning())).select(F.round("quality_score", 6).alias("s"))
+    return M.summary(d, "s", 5).select("n", "least", "most", "mean")
+
+
+@query("length_summary", f"WITH x AS (SELECT greatest(1, strlen(text) // 4)::BIGINT AS v FROM documents), y AS (SELECT v, row_number() OVER (ORDER BY v) AS rn, count(*) OVER () AS n FROM x) SELECT count(*) AS docs, CAST(sum(v) AS BIGINT) AS total, round(avg(v), 6) AS mean, {_QSQL('v')} FROM y")
+def length_summary(spark, at):
+    d = table(spark, at, "documents").select(T.token_estimate(F.col("text")).cast("bigint").alias("v"))
+    whole = M.summary(d, "v").select(F.col("n").alias("docs"), F.col("total").cast("bigint").alias("total"), "mean")
+    return whole.join(F.broadcast(K.floor_quantile(d, "v", _Q)))  # a row with a row
+
+
+@query("raw_file_quantiles", "WITH x AS (SELECT source, strlen(text)::BIGINT AS v, row_number() OVER (PARTITION BY source ORDER BY strlen(text)) AS rn, count(*) OVER (PARTITION BY source) AS n FROM documents) SELECT source, CAST(sum(v) AS BIGINT) AS total, min(v) FILTER (rn = least(n, CAST(floor(0.5 * n) AS BIGINT) + 1)) AS p50, min(v) FILTER (rn = least(n, CAST(floor(0.9 * n) AS BIGINT) + 1)) AS p90 FROM x GROUP BY source")
+def raw_file_quantiles(spark, at):
+    d = table(spark, at, "documents").select("source", F.octet_length("text").cast("bigint").alias("v"))
+    return K.floor_quantile(d, "v", [0.5, 0.9], ["source"]).join(d.groupBy("source").agg(F.sum("v").alias("total")), "source")

@@ -11,8 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.functions import hashing as H
+from quern.functions import text as T
 from quern.functions.prefix import running_total
 from quern.operators import layout as L
+from quern.operators import manifest as N
 from quern.sources import remote, sinks
 from quern.sources.readers import Source
 from quern.sources.shard_reader import IncompatibleState, ShardReader
@@ -127,3 +129,21 @@ def test_event_log(spark, tmp_path):
     events.heartbeat(spark, str(tmp_path / "beat"), step=1)
     events.heartbeat(spark, str(tmp_path / "beat"), step=2)
     assert [json.loads(r.value)["step"] for r in spark.read.text(str(tmp_path / "beat")).collect()] == [2]
+
+
+def test_folded(spark):
+    texts = ["STRASSE", "straße", "ΟΔΥΣΣΕΥΣ", "ﬁn", "Éa", "I"]
+    got = [r.f for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.folded(F.col("t")).alias("f")).collect()]
+    assert got == [t.casefold() for t in texts]
+
+
+def test_append_and_reshard_refuse(spark):
+    base = spark.createDataFrame([("a", "b/a", 1)], "id string, uri string, estimated_tokens int").withColumn("sha256", F.sha2("uri", 256))
+    run = lambda id, uri: spark.createDataFrame([(id, uri, 1)], "id string, uri string, estimated_tokens int").withColumn("sha256", F.sha2("uri", 256))
+    assert sorted(r.uri for r in N.append_run(base, run("c", "r/c"), "r", "b/in").collect()) == ["b/a", "b/in/c"]
+    for id, uri, new in (("a", "r/c", "b/in"), ("c", "r/a", "b"), ("c", "other/c", "b/in")):
+        with pytest.raises(ValueError):
+            N.append_run(base, run(id, uri), "r", new)
+    with pytest.raises(ValueError):
+        N.reshard(base, (1, 1), (2, 1))
+    assert N.reshard(base, (1, 1), (2, 1), reset_positions=True).count() == 2
