@@ -1,6 +1,9 @@
+import math
 import random
 import zlib
 
+import numpy as np
+
 from quern.llm import toxicity
 
 
@@ -31,6 +34,35 @@ def test_held_out_accuracy(spark):
     assert kept == {k for k, r in got.items() if not r.predicted}
 
 
+def test_fit_equals_a_plain_learner():
+    """The published update, one coordinate at a time, with dictionaries."""
+    rng = random.Random(4)
+    rows = [(sorted(rng.sample(range(40), rng.randint(0, 9))), int(rng.random() < 0.4)) for _ in range(300)]
+    rows = [(own, 1 if 3 in own or 7 in own and rng.random() < 0.8 else y) for own, y in rows]
+    z, n, bias = {}, {}, 1 << toxicity.BITS
+
+    def weight(i):
+        l1 = 0.0 if i == bias else toxicity.L1
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - math.copysign(l1, zi)) / ((toxicity.BETA + math.sqrt(ni)) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for own, y in rows:
+            w = {i: weight(i) for i in [*own, bias]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i, wi in w.items():
+                ni = n.get(i, 0.0)
+                sigma = (math.sqrt(ni + g * g) - math.sqrt(ni)) / toxicity.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * wi
+                n[i] = ni + g * g
+    at, w, b = toxicity.fit([(np.array(own, np.int64), y) for own, y in rows])
+    want = {i: weight(i) for i in range(40) if weight(i)}
+    assert 0 < len(want) < 40 and set(at.tolist()) == set(want)
+    assert all(math.isclose(want[i], x, rel_tol=1e-9) for i, x in zip(at.tolist(), w.tolist(), strict=True)) and math.isclose(b, weight(bias), rel_tol=1e-9)
+
+
 def test_held_out_rows_teach_nothing(spark):
     docs, labels = corpus(2, 200)
     flipped = [(k, 1 - y if zlib.crc32(str(k).encode()) % 4 == 2 else y) for k, y in labels]
