@@ -4,11 +4,11 @@ A document is its set of 5-word shingles.  Each shingle's hash falls into one of
 256 buckets; a bucket's register keeps the least hash there as its number of
 leading zeros and the 10 bits after the leading one, 16 bits in all.  Empty
 buckets borrow from others in an order all documents share.  Bands of 6 registers
-bring documents together: two at a similarity of 0.85 miss each other in all 42
-bands once in 4 * 10^8.  Within a band's bucket no pairs are listed: all members
-are compared to one of them, the leader, first by the registers' estimate,
-corrected for chance collisions, then on the full sets.  Buckets that are one
-component then are settled.  The members of the others, texts that are alike but
+bring documents together: two at a similarity of 0.8 miss each other in all 42
+bands three times in 10^6, two at 0.85 once in 4 * 10^8.  Within a band's bucket
+no pairs are listed: all members are compared to one of them, the leader, first by
+the registers' estimate, corrected for chance collisions, then on the full sets.
+Buckets that are one component then are settled.  The members of the others, texts that are alike but
 not near enough to their leader, meet anew in the shingles of their prefixes (see
 prefixes), which any two that can link share.  There a few members meet each
 other, and a crowd meets leaders, more in each round, until every bucket is one
@@ -28,7 +28,7 @@ from quern.llm.components import components
 from quern.llm.store import Store
 from quern.llm.vectors import BLANK_WORDS, U, blocks, grams, mix, prefix, spans, words
 
-SHINGLE, PERCENT = 5, 85
+SHINGLE, PERCENT = 5, 80
 BUCKETS, ROWS = 256, 6
 MANTISSA = 10
 EMPTY = np.uint16(0xFFFF)

@@ -20,7 +20,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_minhash": lambda spark, at: minhash.groups(_table(spark, at, "documents")),
+    "op1_minhash": lambda spark, at: minhash.groups(_table(spark, at, "documents"), percent=85),
     "op2_decontaminate": lambda spark, at: decontaminate.report(_table(spark, at, "documents"), _table(spark, at, "benchmark")),
     "op3_sentencepiece": lambda spark, at: sentencepiece_bpe.digest(_table(spark, at, "documents"), PIECES),
     "op4_toxicity": lambda spark, at: toxicity.report(_table(spark, at, "documents"), _table(spark, at, "labels")),

@@ -55,8 +55,8 @@ def corpus(seed):
 def test_groups_equal_brute_force(spark):
     docs = corpus(1)
     table = spark.createDataFrame([(k, t, "x", 1) for k, t in docs], "doc_id bigint, text string, n string, u int")
-    assert sorted(map(tuple, minhash.groups(table).collect())) == brute(docs)
-    left = {r.doc_id for r in minhash.first_of_each(table).collect()}
+    assert sorted(map(tuple, minhash.groups(table, percent=85).collect())) == brute(docs)
+    left = {r.doc_id for r in minhash.first_of_each(table, percent=85).collect()}
     assert left == {k for k, _, _, kept in brute(docs) if kept}
 
 
@@ -72,20 +72,20 @@ def test_a_crowd_without_a_centre_equals_brute_force(spark):
     docs += [(k, " ".join([*base[:100], *(f"p{k}x{i}" for i in range(40))])) for k in range(60)]
     want = brute(docs)
     assert 40 < sum(kept for *_, kept in want) < 200
-    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())) == want
+    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string"), percent=85).collect())) == want
 
 
 def test_very_long_texts(spark):
     rng = random.Random(4)
     words = [f"w{rng.randrange(50000)}" for _ in range(200_000)]
     docs = [(1, " ".join(words)), (2, " ".join(words[:190_000])), (3, " ".join(words[:150_000])), (4, "w1 " * 300_000)]
-    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())) == brute(docs)
+    assert sorted(map(tuple, minhash.groups(spark.createDataFrame(docs, "doc_id bigint, text string"), percent=85).collect())) == brute(docs)
 
 
 def test_odd_rows(spark):
     docs = [(None, "a b c d e f"), (None, "a b c d e f"), (9, "a b c d e f"), (9, "a b c d e f"), (3, "x y z"), (3, "a b c d e f"), (8, "X Y Z")]
     table = spark.createDataFrame(docs, "doc_id bigint, text string")
-    got = sorted(map(tuple, minhash.groups(table).collect()), key=str)
+    got = sorted(map(tuple, minhash.groups(table, percent=85).collect()), key=str)
     assert got == sorted([(None, 2, None, True)] * 2 + [(9, 2, 3, False)] * 2 + [(3, 1, 3, True), (3, 2, 3, True), (8, 1, 3, False)], key=str)
     assert minhash.groups(spark.createDataFrame([], table.schema)).collect() == []
 
