@@ -87,29 +87,41 @@ def _dealt(within: Column, level: int) -> Column:
     # each level has its own hash of a term, whose low bits say whether the level has the term; the top bits deal it into a
     # subset, so the sorted hashes hold each subset's terms side by side
     hashes = F.transform(within, lambda t: F.xxhash64(t, F.lit(8 + level)))
+    number = lambda x: F.shiftrightunsigned(x, 64 - SUBSET_BITS).cast("int") + F.lit(level * SUBSETS)
     ordered = F.sort_array(F.filter(hashes, lambda x: x.bitwiseAND(F.lit((1 << level * LEVEL_BITS) - 1)) == 0))
+    ordered = F.transform(ordered, lambda x: F.struct(number(x).alias("s"), x.alias("x")))
     zero = F.struct(F.lit(-1).alias("s"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<struct<s:int,h:bigint>>").alias("done"))
     done = lambda a: F.when(a["s"] >= 0, F.concat(a["done"], F.array(F.struct(a["s"].alias("s"), a["h"].alias("h"))))).otherwise(a["done"])
-    number = lambda x: F.shiftrightunsigned(x, 64 - SUBSET_BITS).cast("int") + F.lit(level * SUBSETS)
-    step = lambda a, x: F.struct(number(x).alias("s"), F.when(a["s"] == number(x), F.xxhash64(a["h"], x)).otherwise(F.xxhash64(x)).alias("h"), F.when(a["s"] == number(x), a["done"]).otherwise(done(a)).alias("done"))
+    same = lambda a, x: F.struct(a["s"].alias("s"), F.xxhash64(a["h"], x["x"]).alias("h"), a["done"].alias("done"))
+    other = lambda a, x: F.struct(x["s"].alias("s"), F.xxhash64(x["x"]).alias("h"), done(a).alias("done"))
+    step = lambda a, x: F.when(a["s"] == x["s"], same(a, x)).otherwise(other(a, x))
     return F.aggregate(ordered, zero, step, done)
 
 
-def fingerprint(text: Column, held: bytes) -> Column:
-    """Eight hexadecimal digits for each subset, 00000000 where the text has no term in it."""
+def codes(text: Column, held: bytes) -> Column:
+    """A number of 32 bits for each subset, 0 where the text has no term in it."""
     found = subsets(text, held)
     every = F.sequence(F.lit(0), F.lit(LEVELS * SUBSETS - 1))
     # a transform over one element names the map, so that it is made once
-    return F.element_at(F.transform(F.array(found), lambda m: F.array_join(F.transform(every, lambda i: F.coalesce(F.lpad(F.lower(F.hex(F.pmod(F.element_at(m, i), F.lit(1 << 32)))), 8, "0"), F.lit("0" * 8))), "")), 1)
+    return F.element_at(F.transform(F.array(found), lambda m: F.transform(every, lambda i: F.coalesce(F.pmod(F.element_at(m, i), F.lit(1 << 32)), F.lit(0)))), 1)
+
+
+def digits(codes: Column) -> Column:
+    """Eight hexadecimal digits for each subset."""
+    return F.array_join(F.transform(codes, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+
+
+def fingerprint(text: Column, held: bytes) -> Column:
+    return digits(codes(text, held))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of the subsets, of those where either has terms, in which two fingerprints agree; 1 where neither has any."""
-    part = lambda x, i: F.substring(x, i * 8 + 1, F.lit(8))
-    every = F.sequence(F.lit(0), F.floor(F.char_length(a) / 8).cast("int") - 1)
-    used = F.size(F.filter(every, lambda i: (part(a, i) != "0" * 8) | (part(b, i) != "0" * 8)))
-    same = F.size(F.filter(every, lambda i: (part(a, i) != "0" * 8) & (part(a, i) == part(b, i))))
-    return F.when(used == 0, F.lit(1.0)).otherwise(same.cast("double") / used)
+    """The share of the subsets, of those where either has terms, in which two lists of codes agree; 1 where neither has any."""
+    # 1 for a subset that either has terms in, and 2^16 more where they agree
+    marks = F.zip_with(a, b, lambda x, y: F.when(x == y, F.when(x == 0, 0).otherwise((1 << 16) + 1)).otherwise(1))
+    total = F.aggregate(marks, F.lit(0), lambda n, m: n + m)
+    # a transform over one element names the sum, so that it is made once
+    return F.element_at(F.transform(F.array(total), lambda n: F.when(n == 0, F.lit(1.0)).otherwise(F.shiftright(n, 16).cast("double") / (n.bitwiseAND(F.lit((1 << 16) - 1))))), 1)
 
 
 def with_next(docs: DataFrame, id: str, text: str, name: str, made: Column) -> DataFrame:
@@ -145,9 +157,12 @@ def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     """
     own = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     held = lexicon(own)
-    both = with_next(own, "doc_id", "text", "fp", fingerprint(F.col("text"), held))
+    both = with_next(own, "doc_id", "text", "codes", codes(F.col("text"), held))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     both = both.withColumn("edited", F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half)))
-    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.col("fp").alias("fingerprint"), fingerprint(F.col("edited"), held).alias("edited_fingerprint"), "next_fp")
-    return both.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fp")).alias("near_next"))
+    both = both.select("doc_id", n.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "codes", codes(F.col("edited"), held).alias("edited_codes"), "next_codes")
+    return both.select(
+        "doc_id", "n_chars", "edited_sha256", digits(F.col("codes")).alias("fingerprint"), digits(F.col("edited_codes")).alias("edited_fingerprint"),
+        likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"), likeness(F.col("codes"), F.col("next_codes")).alias("near_next"),
+    )

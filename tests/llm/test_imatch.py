@@ -42,9 +42,9 @@ def test_the_band_decides(spark):
 
 
 def test_likeness(spark):
-    a, b = "0000000100000002" + "0" * 240, "0000000100000003" + "0" * 240
-    row = spark.range(1).select(imatch.likeness(F.lit(a), F.lit(b)), imatch.likeness(F.lit(a), F.lit(a)), imatch.likeness(F.lit("0" * 256), F.lit("0" * 256))).first()
-    assert tuple(row) == (0.5, 1.0, 1.0)
+    one, two, none = (F.array(*(F.lit(x).cast("bigint") for x in [*start, *[0] * 6])) for start in ((1, 2), (1, 3), (0, 0)))
+    row = spark.range(1).select(imatch.likeness(one, two), imatch.likeness(one, one), imatch.likeness(none, none), imatch.likeness(one, none)).first()
+    assert tuple(row) == (0.5, 1.0, 1.0, 0.0)
 
 
 def test_odd_rows(spark):
