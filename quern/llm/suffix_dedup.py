@@ -1,11 +1,12 @@
 """Substring removal over bytes: every 100-byte string that also starts earlier goes, by distributed prefix doubling.
 
 The rank of a position tells the bytes that begin there from all others of that
-length.  The first ranks are of 25 bytes; then Spark joins each position's rank to
-that of the position as many bytes on, orders the pairs into groups, and gives
-each group a new rank, which is that of twice the bytes: 25, 50, 100.  A position
-whose rank is unique, or whose partner's is, is out of play; those that share a
-rank of 100 bytes begin the same string, and all but the first of them go.
+length.  The first ranks are of 25 bytes; a position's rank and that of the
+position as many bytes on are a pair, Spark orders the pairs into groups, and each
+group is a new rank, that of twice the bytes: 25, 50, 100.  The first pairs lie in
+one document and so in one task, the later ones meet in a join.  A position whose
+rank is unique, or whose partner's is, is out of play; those that share a pair of
+two times 50 bytes begin the same string, and all but the first of them go.
 
 Ranking every byte of a corpus would shuffle it many times over, so three sieves
 stand before, and most windows are decided there.  Winnowing keeps one 25-byte
@@ -20,8 +21,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
-from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -35,57 +34,61 @@ from quern.llm.vectors import blocks, byte_symbols, grams, mix, prefix
 LENGTH, RANK0, BIN = 100, 25, 8
 
 
-def first_ranks(docs: DataFrame, todo: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc, row, pos, r): of each position in the windows of the runs todo whose rank is asked for, a hash of the k bytes that begin there."""
+def first_pairs(docs: DataFrame, todo: DataFrame, length: int) -> DataFrame:
+    """(row, pos, part, r1, r2): of each half of each window of the runs todo, hashes of its first and its last quarter.
+
+    part: 1 where a window begins, 2 where its second half does, 3 for both.  Halves
+    and quarters of an odd number of bytes overlap.
+    """
+    half = -(-length // 2)
+    quarter = -(-half // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches):
             flat, first = byte_symbols(texts)
-            names = mix(grams(prefix(flat), k))
+            names = mix(grams(prefix(flat), quarter)).view(np.int64)
             todo = rows.column(rows.schema.get_field_index("todo"))
             owner = np.repeat(np.arange(len(todo)), np.diff(todo.offsets.to_numpy()))
             begin, n = (x.to_numpy().astype(np.int64) for x in todo.flatten().flatten())
             each = np.repeat(np.arange(len(begin)), n)
             window = (begin + first[owner])[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            # where doubling k meets length, the ranks at multiples of k are all that is ever joined
-            steps = np.arange(0, length - k + 1, k if length % k == 0 and (length // k).bit_count() == 1 else 1)
-            pos = np.unique((window[:, None] + steps).ravel())
+            pos, at = np.unique(np.concatenate([window, window + (length - half)]), return_inverse=True)
+            part = np.zeros(len(pos), np.int32)
+            np.bitwise_or.at(part, at, np.repeat([1, 2], len(window)).astype(np.int32))
             of = np.searchsorted(first, pos, "right") - 1
-            own = pa.array(of)
-            yield pa.RecordBatch.from_arrays([rows.column(0).take(own), rows.column(1).take(own), pa.array((pos - first[of]).astype(np.int32)), pa.array(names[pos].view(np.int64))], ["doc", "row", "pos", "r"])
+            columns = [pa.array((pos - first[of]).astype(np.int32)), pa.array(part), pa.array(names[pos]), pa.array(names[pos + half - quarter])]
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(of)), *columns], ["row", "pos", "part", "r1", "r2"])
 
     grouped = todo.groupBy("row").agg(F.collect_list(F.struct("begin", "n")).alias("todo"))
-    return docs.join(grouped, "row").select("doc", "row", "text", "todo").mapInArrow(run, "doc bigint, row bigint, pos int, r bigint")
+    return docs.join(grouped, "row").select("row", "text", "todo").mapInArrow(run, "row bigint, pos int, part int, r1 bigint, r2 bigint")
 
 
-def ranked(store: Store, pairs: DataFrame, by: list[str]) -> DataFrame:
-    """(doc, row, pos, r): a number for each group of equal `by`; positions alone in their group go."""
-    groups = pairs.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    numbers = store.keep(groups.select(*(F.col(c).alias(f"{c}_") for c in by), F.monotonically_increasing_id().alias("rank")))
-    same = reduce(and_, (F.col(c) == F.col(f"{c}_") for c in by))
-    out = store.keep(pairs.join(numbers, same).select("doc", "row", "pos", F.col("rank").alias("r")))
+def ranked(store: Store, pairs: DataFrame) -> DataFrame:
+    """(row, pos, part, r) of pairs(row, pos, part, r1, r2): a number for each group of equal pairs; positions alone in their group go."""
+    groups = pairs.groupBy(F.col("r1").alias("a"), F.col("r2").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    numbers = store.keep(groups.select("a", "b", F.monotonically_increasing_id().alias("r")))
+    out = store.keep(pairs.join(numbers, (F.col("r1") == F.col("a")) & (F.col("r2") == F.col("b"))).select("row", "pos", "part", "r"))
     store.drop(numbers)
     return out
 
 
-def doubling(length: int, k: int) -> Finish:
-    """Decides undecided runs by ranks of k, 2 k, 4 k ... and at last `length` bytes."""
+def doubling(length: int) -> Finish:
+    """Decides undecided runs by ranks of a quarter, of half and of all of `length` bytes."""
+    step = length - -(-length // 2)
 
     def finish(store: Store, docs: DataFrame, todo: DataFrame) -> DataFrame:
-        start = store.keep(first_ranks(docs, todo, length, k))
-        now, reach = ranked(store, start, ["r"]), k
+        start = store.keep(first_pairs(docs, todo, length))
+        halves = ranked(store, start)
         store.drop(start)
-        while reach < length:
-            # the last pair may overlap
-            step = min(reach, length - reach)
-            ahead = now.select(F.col("row").alias("row2"), (F.col("pos") - step).alias("pos2"), F.col("r").alias("r2"))
-            pairs = store.keep(now.join(ahead, (F.col("row") == F.col("row2")) & (F.col("pos") == F.col("pos2"))).select("doc", "row", "pos", F.col("r").alias("r1"), "r2"))
-            store.drop(now)
-            now, reach = ranked(store, pairs, ["r1", "r2"]), reach + step
-            store.drop(pairs)
+        ahead = halves.where("part >= 2").select(F.col("row").alias("row2"), (F.col("pos") - step).alias("pos2"), F.col("r").alias("r2"))
+        begun = halves.where("part % 2 = 1").select("row", "pos", F.col("r").alias("r1"))
+        pairs = begun.join(ahead, (F.col("row") == F.col("row2")) & (F.col("pos") == F.col("pos2"))).select("row", "pos", "r1", "r2")
+        whole = store.keep(pairs.join(docs.select("doc", "row"), "row").select("doc", "row", "pos", "r1", "r2"))
+        store.drop(halves)
         place = F.struct("doc", "row", "pos")
-        first = now.groupBy(F.col("r").alias("of")).agg(F.min(place).alias("first"))
-        return store.keep(now.join(first, F.col("r") == F.col("of")).where(~place.eqNullSafe(F.col("first"))).select("row", F.col("pos").alias("begin"), F.lit(1).alias("n")))
+        first = whole.groupBy(F.col("r1").alias("a"), F.col("r2").alias("b")).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
+        later = whole.join(first, (F.col("r1") == F.col("a")) & (F.col("r2") == F.col("b"))).where(~place.eqNullSafe(F.col("first")))
+        return store.keep(later.select("row", F.col("pos").alias("begin"), F.lit(1).alias("n")))
 
     return finish
 
@@ -95,7 +98,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     store = Store(docs.sparkSession, "suffix")
     whole = F.struct(*(docs[x] for x in docs.columns if x != text))
     docs = numbered(store, docs.select(docs[id].cast("bigint").alias("doc"), docs[text].alias("text"), whole.alias("whole")), F.col("whole"))
-    return docs, repeated_windows(store, docs, byte_symbols, length, RANK0, in_bins(byte_symbols, length, [BIN], True, doubling(length, RANK0)), keep_first=True)
+    return docs, repeated_windows(store, docs, byte_symbols, length, RANK0, in_bins(byte_symbols, length, [BIN], True, doubling(length)), keep_first=True)
 
 
 def _kept(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[bytes], np.ndarray, np.ndarray]]:

@@ -60,6 +60,12 @@ def test_suffix_dedup_is_exact(spark, seed):
     assert got == by_bytes(docs)
 
 
+def test_other_lengths(spark):
+    docs = corpus(5)
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r[0]: tuple(r)[1:] for r in suffix_dedup.digest(table, length=37).collect()} == by_bytes(docs, 37)
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_substring_dedup_is_exact(spark, seed):
     docs = corpus(seed)
