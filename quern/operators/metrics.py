@@ -47,9 +47,9 @@ def flag_counts(docs: DataFrame, by: str, flag: str, name: str) -> DataFrame:
 
 
 def advanced(log: DataFrame, by: str, order: str, total: str, interval: float) -> DataFrame:
-    """Rows at which the running total passes another multiple of the interval."""
+    """Rows at which the running total passes another multiple of the interval; of rows that share a place in the order, which have one total, any of them.  Nulls come last."""
     bucket = F.floor(F.col(total) / interval)
-    before = F.lag(bucket, 1, 0).over(Window.partitionBy(by).orderBy(order))
+    before = F.lag(bucket, 1, 0).over(Window.partitionBy(by).orderBy(F.asc_nulls_last(order)))
     return log.withColumn("bucket", bucket.cast("bigint")).withColumn("__b", before).where("bucket > __b").drop("__b")
 
 

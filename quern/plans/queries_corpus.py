@@ -127,7 +127,8 @@ def step_deltas(spark, at):
 
 @query("scheduled_buckets", "WITH r AS (SELECT event_id, user_id, sum(value) OVER (PARTITION BY user_id ORDER BY event_id) AS total FROM events), b AS (SELECT *, CAST(floor(total / 250) AS BIGINT) AS bucket, lag(CAST(floor(total / 250) AS BIGINT), 1, 0) OVER (PARTITION BY user_id ORDER BY event_id) AS prev FROM r) SELECT event_id, bucket FROM b WHERE bucket > prev")
 def scheduled_buckets(spark, at):
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
+    # events that share an id count together, those without one come last, as in SQL
+    w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("event_id")).rangeBetween(Window.unboundedPreceding, 0)
     log = table(spark, at, "events").withColumn("total", F.sum("value").over(w))
     return M.advanced(log, "user_id", "event_id", "total", 250).select("event_id", "bucket")
 
