@@ -64,5 +64,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, docs = Store(spark, "pipeline"), spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = store.keep(stage(spark, docs, sf_dir))
+        docs, last = store.keep(stage(spark, docs, sf_dir)), docs
+        store.drop(last)
     return docs

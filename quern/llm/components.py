@@ -26,7 +26,9 @@ def components(store: Store, edges: DataFrame) -> DataFrame:
         # done once each node has one edge, and the node there none
         ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
         if ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            store.paths[id(roots)] = store.paths.pop(id(edges))
+            return roots
         one = _star(store, edges, large=True)
         two = _star(store, one, large=False)
         store.drop(edges, one)

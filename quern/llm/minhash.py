@@ -227,8 +227,11 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     a row with a null id (its component is null, and it is kept).  Equal sets are
     one document for the search; rows that share an id share a component.
     """
-    docs = docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    store = Store(docs.sparkSession, "minhash")
+    return grouped(Store(docs.sparkSession, "minhash"), docs.select(F.col(id).cast("bigint").alias("doc"), F.col(text).alias("text")), percent)
+
+
+def grouped(store: Store, docs: DataFrame, percent: int) -> DataFrame:
+    """groups() of docs(doc, text); what it reads is all that stays in the store."""
     sig = store.keep(signatures(docs))
     some = sig.where("n > 0 and doc is not null")
     reps = store.keep(some.groupBy("n", "s1", "s2").agg(F.min("doc").alias("doc"), F.first("regs").alias("regs")))
@@ -282,6 +285,7 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text", percent: int
     late = store.keep(late)
     if not late.isEmpty():
         roots = components(store, roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(late))
+    store.clear(member, roots)
     out = rooted(member, roots, "rep", "root").withColumn("root", F.when(F.col("doc").isNotNull(), F.coalesce("root", "doc")))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("root").alias("component_id"), F.col("doc").eqNullSafe(F.col("root")).alias("kept"))
 
@@ -322,12 +326,15 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", perce
     Every row is a document of its own: of rows that share an id the one that
     stands first in the table stays, and rows without an id come after all others.
     """
-    store, columns = Store(docs.sparkSession, "near"), docs.columns
-    rows = store.keep(docs.select(F.struct(*(docs[x] for x in columns)).alias("whole"), docs[id].cast("bigint").alias("doc"), docs[text].alias("text"), F.monotonically_increasing_id().alias("row")))
-    found = store.keep(groups(rows.select("row", "text"), "row", "text", percent).select(F.col("doc_id").alias("r"), F.col("component_id").alias("c")))
+    store, search, columns = Store(docs.sparkSession, "near"), Store(docs.sparkSession, "minhash"), docs.columns
+    # the texts, most of the table, are in it once
+    rows = store.keep(docs.select(F.struct(*(docs[x] for x in columns)).alias("whole"), docs[id].cast("bigint").alias("doc"), F.monotonically_increasing_id().alias("row")))
+    texts = rows.select(F.col("row").alias("doc"), F.col("whole")[text].alias("text"))
+    found = store.keep(grouped(search, texts, percent).select(F.col("doc_id").alias("r"), F.col("component_id").alias("c")))
+    search.clear()
     several = found.where("r <> c").select(F.col("c").alias("several")).distinct()
     member = store.keep(found.join(several, F.col("c") == F.col("several"), "left_semi").join(rows.select("row", "doc"), F.col("r") == F.col("row")).select("row", "c", "doc"))
     first = member.groupBy(F.col("c").alias("of")).agg(F.min(F.struct(F.col("doc").isNull(), "doc", "row")).alias("first"))
     gone = store.keep(member.join(first, F.col("c") == F.col("of")).where(F.col("row") != F.col("first.row")).select(F.col("row").alias("gone")))
-    store.drop(found, member)
+    store.clear(rows, gone)
     return rows.join(gone, F.col("row") == F.col("gone"), "left_anti").select("whole.*")

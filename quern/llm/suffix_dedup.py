@@ -88,7 +88,9 @@ def doubling(length: int) -> Finish:
         place = F.struct("doc", "row", "pos")
         first = whole.groupBy(F.col("r1").alias("a"), F.col("r2").alias("b")).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1")
         later = whole.join(first, (F.col("r1") == F.col("a")) & (F.col("r2") == F.col("b"))).where(~place.eqNullSafe(F.col("first")))
-        return store.keep(later.select("row", F.col("pos").alias("begin"), F.lit(1).alias("n")))
+        out = store.keep(later.select("row", F.col("pos").alias("begin"), F.lit(1).alias("n")))
+        store.drop(whole)
+        return out
 
     return finish
 
