@@ -1,9 +1,12 @@
 """The two near-duplicate modes against one pass in plain Python."""
 
+import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
+from quern.functions import hashing as H
 from quern.operators import cleaning as C
 from quern.operators import dedup as D
 from quern.operators import manifest as N
@@ -96,3 +99,19 @@ def test_slots_cover_each_shard_once(spark):
     assert sorted(r.uri for r in s) == [f"u{i}" for i in range(7)] and {(r.rank, r.worker) for r in s} <= {(a, b) for a in (0, 1) for b in (0, 1)}
     ppl = spark.range(1).select(M.perplexity(F.lit(60.0)).alias("p")).first().p
     assert ppl == float("inf")
+
+
+def test_words_vote_where_they_are_read(spark):
+    def own(*texts):
+        words = [w for t in texts for w in re.findall(r"[\w一-鿿]+", t.lower()) or [t.lower()]]
+        digests = [int.from_bytes(hashlib.md5(w.encode()).digest()[:8], "big") for w in words]
+        return str(sum(1 << i for i in range(64) if 2 * sum(d >> i & 1 for d in digests) >= len(words)))
+
+    long = " ".join(f"w{i * i % 9973}" for i in range(150_000))  # more than two pieces
+    texts = [(1, "One two, two."), (2, long), (3, ""), (4, " .,; "), (5, "第一 Été_2"), (6, None), (7, "a b c"), (7, "d e"), (8, long + " end"), (9, "...a")]
+    found = H.simhash_md5(spark.createDataFrame(texts, "doc_id bigint, text string").coalesce(1), "doc_id", "text")
+    want = {i: own(*(t for j, t in texts if j == i)) for i in range(1, 10) if i != 6}
+    assert {r.doc_id: r.simhash for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # no row a word
+    assert "Generate" not in plan and "token" not in plan
