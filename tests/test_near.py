@@ -101,6 +101,17 @@ def test_slots_cover_each_shard_once(spark):
     assert ppl == float("inf")
 
 
+def test_pairs_come_once(spark):
+    rows = list({b: (i, b) for i, b in prints(3, 400)}.values())
+    for k in (0, 1, 3, 5):
+        got = sorted((r.a, r.b, r.distance) for r in D.pairs(spark.createDataFrame(rows, "doc_id bigint, bits bigint"), "doc_id", k).collect())
+        assert got == sorted((min(i, j), max(i, j), ((a ^ b) & (1 << 64) - 1).bit_count()) for n, (i, a) in enumerate(rows) for j, b in rows[:n] if near(a, b, k))
+    # those that share no two bands of five don't meet
+    cut = spark.createDataFrame([(1, 5), (2, 5 | 1 << 20 | 1 << 33 | 1 << 46 | 1 << 60)], "doc_id bigint, bits bigint").select(H.band_pairs(F.col("bits")).alias("v"))
+    a, b = (r.v for r in cut.collect())
+    assert len(a) == 10 and not any(x == y for x, y in zip(a, b))
+
+
 def test_words_vote_where_they_are_read(spark):
     def own(*texts):
         words = [w for t in texts for w in re.findall(r"[\w一-鿿]+", t.lower()) or [t.lower()]]
