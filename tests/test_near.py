@@ -126,3 +126,18 @@ def test_words_vote_where_they_are_read(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     # no row a word
     assert "Generate" not in plan and "token" not in plan
+
+
+def test_classes_come_from_written_prints(spark, monkeypatch):
+    seen = []
+
+    def recorded(df):
+        seen.append(df.columns)
+        return keep(df)
+
+    monkeypatch.setattr(queries_dedup, "keep", recorded)
+    for query in (queries_dedup.near_dup_classes, queries_dedup.near_dup_pairs):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        # neither words nor texts are read again for the second side of the join
+        assert "documents.parquet" not in plan and "Generate regexp" not in plan
+    assert [sorted(c) for c in seen] == [["bits", "doc_id"]] * 2
