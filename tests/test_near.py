@@ -128,6 +128,22 @@ def test_words_vote_where_they_are_read(spark):
     assert "Generate" not in plan and "token" not in plan
 
 
+def test_no_texts_are_kept(spark, monkeypatch):
+    seen = []
+
+    def recorded(df):
+        seen.append(df.columns)
+        return keep(df)
+
+    monkeypatch.setattr(C, "kept_table", recorded)
+    monkeypatch.setattr(queries_dedup, "keep", recorded)
+    docs = spark.createDataFrame([(i, f"Some text with its number {i % 3}, of words enough to pass the filters.") for i in range(9)], "doc_id bigint, text string")
+    for mode in (queries_dedup.serial_reasons,):
+        seen.clear()
+        assert mode(docs, C.Cleaning()).count() == 9
+        assert seen and not any({"clean", "text"} & set(columns) for columns in seen)
+
+
 def test_classes_come_from_written_prints(spark, monkeypatch):
     seen = []
 
