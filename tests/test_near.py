@@ -112,6 +112,17 @@ def test_pairs_come_once(spark):
     assert len(a) == 10 and not any(x == y for x, y in zip(a, b))
 
 
+def test_grouped_copies_fare_as_their_first(spark):
+    # 2 is near 1 and kept nowhere, 3 equals 2, 4 is full of others' groups alone and 5 equals it, 6 equals 1; of one id several rows
+    far = 0x0FF1_0EE2_0DD3_0CC4
+    rows = [(1, 0), (2, 8), (3, 8), (4, far), (5, far), (6, 0), (7, None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, bits bigint")
+    assert {r.id: (r.first_id, r.capped) for r in D.banded_groups(table, "doc_id").collect()} == {2: (1, False), 3: (1, False), 5: (4, False), 6: (1, False)}
+    full = spark.createDataFrame([(1, 0), (2, 0xFF), (3, 0xFF), (4, 0)], "doc_id bigint, bits bigint")
+    # 2 is kept in its own last band's group, and is beyond the bound in the three others
+    assert {r.id: (r.first_id, r.capped) for r in D.banded_groups(full, "doc_id", cap=1).collect()} == {2: (None, True), 3: (2, True), 4: (1, False)}
+
+
 def test_words_vote_where_they_are_read(spark):
     def own(*texts):
         words = [w for t in texts for w in re.findall(r"[\w一-鿿]+", t.lower()) or [t.lower()]]
@@ -138,7 +149,7 @@ def test_no_texts_are_kept(spark, monkeypatch):
     monkeypatch.setattr(C, "kept_table", recorded)
     monkeypatch.setattr(queries_dedup, "keep", recorded)
     docs = spark.createDataFrame([(i, f"Some text with its number {i % 3}, of words enough to pass the filters.") for i in range(9)], "doc_id bigint, text string")
-    for mode in (queries_dedup.serial_reasons,):
+    for mode in (queries_dedup.serial_reasons, queries_dedup.partitioned_reasons):
         seen.clear()
         assert mode(docs, C.Cleaning()).count() == 9
         assert seen and not any({"clean", "text"} & set(columns) for columns in seen)
