@@ -168,3 +168,9 @@ def test_classes_come_from_written_prints(spark, monkeypatch):
         # neither words nor texts are read again for the second side of the join
         assert "documents.parquet" not in plan and "Generate regexp" not in plan
     assert [sorted(c) for c in seen] == [["bits", "doc_id"]] * 2
+
+
+def test_bands_deal_no_words(spark):
+    plan = queries_dedup.simhash_bands(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # one row a band, and none a word
+    assert plan.count("Generate") == 1 and "posexplode" in plan
